@@ -149,23 +149,31 @@ def _record(raw: Column, parts: Sequence[tuple[str, str]]) -> Column:
         for i, (name, kind) in enumerate(parts)])
 
 
-def _value_and_problem(text: Column, rule: FieldRule) -> tuple[Column, Column]:
+def _raw(text: Column, rule: FieldRule) -> Column:
+    """What the rule's pattern finds in the text; NULL when it finds nothing."""
     if rule.kind in ("list", "records"):
         found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(1))
-        if rule.kind == "records":
-            value = F.transform(found, lambda r: _record(r, rule.parts))
-        else:
-            value = F.transform(found, lambda r: F.trim(r))
-        missing = F.size(found) == 0
-        value = F.when(~missing, value)
-        problem = F.when(missing & F.lit(rule.required), f"missing {rule.name}")
-        return value, problem
-    raw = first_match(text, rule.pattern)
-    value = _typed(raw, rule.kind)
-    problem = F.when(raw.isNotNull() & value.isNull(), f"invalid {rule.name}")
+        return F.when(F.size(found) > 0, found)
+    return first_match(text, rule.pattern)
+
+
+def _value(raw: Column, rule: FieldRule) -> Column:
+    if rule.kind == "records":
+        return F.transform(raw, lambda r: _record(r, rule.parts))
+    if rule.kind == "list":
+        return F.transform(raw, lambda r: F.trim(r))
+    return _typed(raw, rule.kind)
+
+
+def _problem(raw: Column, value: Column, rule: FieldRule) -> Column | None:
+    """Why the field is unusable; None for a rule that cannot go wrong."""
+    problem = None
+    if rule.kind not in ("string", "list", "records"):
+        problem = F.when(raw.isNotNull() & value.isNull(), f"invalid {rule.name}")
     if rule.required:
-        problem = F.when(raw.isNull(), f"missing {rule.name}").otherwise(problem)
-    return value, problem
+        missing = F.when(raw.isNull(), f"missing {rule.name}")
+        problem = missing if problem is None else F.coalesce(missing, problem)
+    return problem
 
 
 def extract(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
@@ -177,20 +185,40 @@ def extract(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
     class. ``extract_error`` lists the fields that are present but not of their
     type, or required and absent; it is NULL on success. A document whose class
     has no contract gets ``no contract``.
+
+    A pattern that several classes share is one expression, and it is searched
+    only in documents of those classes.
     """
-    body = col(text)
-    known = F.lit(False)
+    users: dict[tuple[str, bool], list[str]] = {}
+    sample: dict[tuple[str, bool], FieldRule] = {}
+    for label, rules in contracts.items():
+        for rule in rules:
+            key = (rule.pattern, rule.kind in ("list", "records"))
+            users.setdefault(key, []).append(label)
+            sample[key] = rule
+    names = {key: f"__raw{i}" for i, key in enumerate(users)}
+    found = docs.select(
+        *[col(k) for k in keep], col(doc_class).alias("doc_class"),
+        *[F.when(col(doc_class).isin(*users[key]), _raw(col(text), sample[key])).alias(name)
+          for key, name in names.items()])
+
     structs, problems = [], []
     for label, rules in contracts.items():
-        mine = col(doc_class) == label
-        known = known | mine
-        pairs = [_value_and_problem(body, rule) for rule in rules]
-        structs.append(F.when(mine, F.struct(*[
-            v.alias(r.name) for r, (v, _) in zip(rules, pairs)])).alias(label))
-        problems.append(F.when(mine, F.nullif(F.concat_ws("; ", *[p for _, p in pairs]), F.lit(""))))
-    problems.append(F.when(F.coalesce(~known, F.lit(True)), "no contract"))
-    return docs.select(*[col(k) for k in keep], col(doc_class).alias("doc_class"),
-                       F.coalesce(*problems).alias("extract_error"), *structs)
+        mine = F.col("doc_class") == label
+        fields, wrong = [], []
+        for rule in rules:
+            raw = F.col(names[rule.pattern, rule.kind in ("list", "records")])
+            value = _value(raw, rule)
+            fields.append(value.alias(rule.name))
+            problem = _problem(raw, value, rule)
+            wrong += [problem] if problem is not None else []
+        structs.append(F.when(mine, F.struct(*fields)).alias(label))
+        if wrong:
+            problems.append(F.when(mine, F.nullif(F.concat_ws("; ", *wrong), F.lit(""))))
+    known = F.coalesce(F.col("doc_class").isin(*contracts), F.lit(False))
+    problems.append(F.when(~known, "no contract"))
+    return found.select(*[col(k) for k in keep], "doc_class",
+                        F.coalesce(*problems).alias("extract_error"), *structs)
 
 
 def class_table(extracted: DataFrame, label: str) -> DataFrame:

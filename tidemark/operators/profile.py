@@ -17,7 +17,7 @@ def _scalar_fields(df: DataFrame) -> list[T.StructField]:
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """One row per column: type, rows, nulls, rough distinct count, extremes, mean length.
+    """One row per column: type, rows, nulls, rough distinct count, extremes, mean text length.
 
     A single aggregation over the table: one buffer per column and task. The
     distinct count is a sketch, as exact ones would copy every row per column.
@@ -27,11 +27,11 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
     summaries = []
     for i, f in enumerate(fields):
         value = col(f.name)
-        text = value.cast("string") if f.name in scalar else F.lit(None).cast("string")
         rough = F.approx_count_distinct(value) if f.name in scalar else F.lit(None).cast("bigint")
         low = F.min(value).cast("string") if f.name in scalar else F.lit(None).cast("string")
         high = F.max(value).cast("string") if f.name in scalar else F.lit(None).cast("string")
-        size = F.sum(F.length(text)) if f.name in scalar else F.lit(None).cast("bigint")
+        text = isinstance(f.dataType, T.StringType)
+        size = F.sum(F.length(value)) if text else F.lit(None).cast("bigint")
         summaries.append(F.struct(
             F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"),
             F.lit(i).cast("bigint").alias("ordinal"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, exact_avg
 
 # A category column has more than one and at most 25 values.
 MIN_CATEGORIES = 2
@@ -20,7 +20,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def kpis(df: DataFrame) -> DataFrame:
     """One row: rows, columns, and the mean of the first numeric column."""
     numeric = numeric_columns(df)
-    mean = F.avg(col(numeric[0])) if numeric else F.lit(None).cast("double")
+    if not numeric:
+        mean = F.lit(None).cast("double")
+    elif isinstance(df.schema[numeric[0]].dataType, T.FractionalType) and not isinstance(
+            df.schema[numeric[0]].dataType, T.DecimalType):
+        mean = F.avg(col(numeric[0]))
+    else:
+        mean = exact_avg(numeric[0])
     return df.agg(F.count(F.lit(1)).alias("row_count"),
                   F.lit(len(df.columns)).cast("bigint").alias("column_count"),
                   F.lit(numeric[0] if numeric else None).alias("metric"),
