@@ -12,9 +12,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import EXACT, col, document_identity, is_blank
+from tidemark.operators.semantic import MetricView
 from tidemark.plans.domains import DomainSpec
 
 GATE_COLUMNS = ("stage_no", "stage", "passed", "observed", "expected", "verdict")
@@ -322,3 +323,73 @@ def serving_gate(parity: DataFrame) -> DataFrame:
         Stage("served", "served_rows > 0", "served_rows", "1"),
         Stage("parity", "served_rows = source_rows", "served_rows", "source_rows"),
         Stage("identity", "key_differences = 0", "key_differences", "0")))
+
+
+# -- metric views --------------------------------------------------------------------
+def metrics_gate(spark: SparkSession, view: MetricView | None,
+                 tables: Mapping[str, DataFrame], source: str, dimensions: Sequence[str],
+                 measures: Sequence[str]) -> DataFrame:
+    """A metric view exists, is defined as required, and its measures evaluate sanely.
+
+    ``source``, ``dimensions`` and ``measures`` are the required definition. An
+    absent view or source table fails the first stage.
+    """
+    if view is None or view.source not in tables:
+        summary = spark.range(1).select(F.lit(None).cast("bigint").alias("measures"))
+    else:
+        errors = view.contract_errors(source, dimensions, measures)
+        wrong_source = sum(e.startswith("source ") for e in errors)
+        summary = view.sanity(tables).agg(
+            F.count(F.lit(1)).alias("measures"), F.count_if(~F.col("passed")).alias("bad_measures"),
+            F.lit(wrong_source).cast("bigint").alias("missing_source"),
+            F.lit(len(errors) - wrong_source).cast("bigint").alias("missing_names"))
+    return judge([summary], ("missing_source", "missing_names", "measures", "bad_measures"), (
+        Stage("describe", "measures IS NOT NULL", "IF(measures IS NULL, 0, 1)", "1"),
+        Stage("definition", "missing_names = 0", "missing_names", "0"),
+        Stage("source", "missing_source = 0", "missing_source", "0"),
+        Stage("sanity", "bad_measures = 0", "bad_measures", "0")))
+
+
+# -- metadata --------------------------------------------------------------------------
+def metadata_gate(dictionary: DataFrame, expected_tables: DataFrame, min_pi_columns: int = 1,
+                  expected_pi: DataFrame | None = None) -> DataFrame:
+    """Every expected table is described, column by column, classified and in a domain.
+
+    ``expected_tables`` has one ``table_name`` per table. ``expected_pi``, with
+    (table_name, column_name), asks for exactly those classified columns instead
+    of a minimum number.
+    """
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    wanted = expected_tables.select("table_name", one.alias("e"), zero.alias("c"), zero.alias("d"))
+    described = dictionary.select(
+        "table_name", zero.alias("e"), one.alias("c"),
+        is_blank("business_domain").cast("bigint").alias("d"))
+    per_table = wanted.unionByName(described).groupBy("table_name").agg(
+        F.sum("e").alias("e"), F.sum("c").alias("c"), F.sum("d").alias("d"))
+    expected = F.col("e") > 0
+    classified = ~is_blank("pi_class")
+    summaries = [
+        per_table.agg(F.count_if(expected).alias("wanted"),
+                      F.count_if(expected & (F.col("c") == 0)).alias("missing_tables"),
+                      F.count_if(expected & (F.col("d") > 0)).alias("undomained")),
+        dictionary.agg(F.count(F.lit(1)).alias("column_rows"),
+                       F.count_if(is_blank("description")).alias("undescribed"),
+                       F.count_if(F.col("pi_class").isNotNull() & ~classified).alias("blank_pi"),
+                       F.count_if(classified).alias("pi_columns"))]
+    pi_stage = Stage("pi_columns", f"pi_columns >= {int(min_pi_columns)}", "pi_columns",
+                     str(int(min_pi_columns)))
+    if expected_pi is not None:
+        left = expected_pi.select("table_name", "column_name", one.alias("e"), zero.alias("o"))
+        right = dictionary.where(classified).select(
+            "table_name", "column_name", zero.alias("e"), one.alias("o"))
+        summaries.append(left.unionByName(right).groupBy("table_name", "column_name").agg(
+            F.sum("e").alias("e"), F.sum("o").alias("o")).agg(
+            F.count_if((F.col("e") > 0) != (F.col("o") > 0)).alias("pi_differences")))
+        pi_stage = Stage("pi_columns", "pi_differences = 0", "pi_differences", "0")
+    return judge(summaries, ("wanted", "missing_tables", "undomained", "column_rows",
+                             "undescribed", "blank_pi", "pi_columns", "pi_differences"), (
+        Stage("tables", "wanted > 0 AND missing_tables = 0", "wanted - missing_tables", "wanted"),
+        Stage("column_descriptions", "undescribed = 0", "undescribed", "0"),
+        Stage("pi_values", "blank_pi = 0", "blank_pi", "0"),
+        pi_stage,
+        Stage("domains", "undomained = 0", "undomained", "0")))

@@ -20,9 +20,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.columns import col
 from tidemark.operators.cdc import is_live, latest_images
 from tidemark.sources.files import CHANGE_COLUMNS, change_log, select_contract
+from tidemark.sources.sinks import read_if_present
 
 
 @dataclass(frozen=True)
@@ -62,15 +62,24 @@ class ChangeTarget:
         frames = reduce(DataFrame.unionByName, [reader.parquet(p) for p in parts])
         return latest_images(frames, list(self.keys), self.tie_break)
 
-    def images(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Newest image per key, tombstones included, as of a committed batch."""
-        if batch_id < 0:
+    def last_batch(self, spark: SparkSession) -> int:
+        """The last batch that has a delta; -1 before the first. Reads no data columns."""
+        deltas = read_if_present(spark, f"{self.path}/delta")
+        if deltas is None:
+            return -1
+        last = deltas.agg(F.max("batch")).first()[0]
+        return -1 if last is None else int(last)
+
+    def images(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
+        """Newest image per key, tombstones included, as of a batch (default: the last)."""
+        at = self.last_batch(spark) if batch_id is None else batch_id
+        if at < 0:
             return spark.createDataFrame([], self.schema)
-        return self._images(spark, batch_id, self._base_upto(batch_id))
+        return self._images(spark, at, self._base_upto(at))
 
-    def current(self, spark: SparkSession, batch_id: int,
-                columns: Sequence[str] | None = None) -> DataFrame:
-        """Live rows as of a committed batch, without the change columns."""
+    def current(self, spark: SparkSession, columns: Sequence[str] | None = None,
+                batch_id: int | None = None) -> DataFrame:
+        """Live rows as of a batch (default: the last), without the change columns."""
         wanted = list(columns) if columns is not None else [
             c for c in self.schema.names if c not in CHANGE_COLUMNS]
         return select_contract(self.images(spark, batch_id).where(is_live()), wanted)
@@ -88,13 +97,6 @@ def apply_changes(stream: DataFrame, target: ChangeTarget, checkpoint: str,
             .start())
 
 
-def run_to_end(query: StreamingQuery) -> int:
-    """Wait for an available-now query; the id of its last committed batch (-1: none)."""
-    query.awaitTermination()
-    progress = [p for p in query.recentProgress if p["numInputRows"] > 0]
-    return progress[-1]["batchId"] if progress else -1
-
-
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files: int | None = None, glob: str | None = None) -> DataFrame:
     """New files of a folder as a stream."""

@@ -12,9 +12,11 @@ from tidemark.operators import profile
 from tidemark.operators.cdc import synthesize_log
 from tidemark.plans import metrics, standins
 from tidemark.plans.domains import domain_spec
+from tidemark.plans.gates import metadata_gate, metrics_gate
 from tidemark.plans.medallion import run_domain
 from tidemark.session import shared_dir
 from tidemark.sources.files import table
+from tidemark.sources.sinks import materialize
 from tidemark.workload import base
 from tidemark.workload.finance import contract_tables, sales_tables
 from tidemark.workload.itsm import incidents, service_mart
@@ -205,6 +207,33 @@ def metric_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, checked)
 
 
+@register("gate_metrics", base.gate_sql(
+    [("describe", "n > 0", "1", "1"), ("definition", "n > 0", "0", "0"),
+     ("source", "n > 0", "0", "0"), ("sanity", "n > 0 AND units IS NOT NULL", "0", "0")],
+    base.LINES + ", m AS (SELECT COUNT(*) AS n, SUM(units) AS units FROM lines)"))
+def gate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = metrics.METRIC_VIEWS["finance_sales_metrics"]
+    return metrics_gate(
+        spark, view, sales_tables(spark, sf_dir), "sales_lines",
+        ["Sale Date", "Product Family", "Sales Region", "Customer Type"],
+        ["Transaction Count", "Order Count", "Units Sold", "Gross Sales", "Net Sales",
+         "Gross Margin", "Gross Margin Percent"])
+
+
+@register("gate_metadata", base.gate_sql(
+    [("tables", "tables = 3", "tables", "3"),
+     ("column_descriptions", "undescribed = 0", "undescribed", "0"),
+     ("pi_values", "pi_columns > 0", "0", "0"), ("pi_columns", "pi_columns >= 1", "pi_columns", "1"),
+     ("domains", "tables = 3", "0", "0")],
+    _DICTIONARY + """,
+m AS (SELECT COUNT(DISTINCT table_name) AS tables, COUNT(pi_class) AS pi_columns,
+        COUNT(*) FILTER (WHERE trim(description) = '') AS undescribed FROM dictionary)"""))
+def gate_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary is written once; its tables are the ones the profile covers."""
+    dictionary = materialize(_dictionary(spark, sf_dir), shared_dir(spark, "dictionary"))
+    return metadata_gate(dictionary, dictionary.select("table_name").distinct())
+
+
 # -- the whole run ---------------------------------------------------------------
 _STAGES = """SELECT '{0}' AS domain, 'bronze_transactions' AS stage, COUNT(*) AS row_count FROM {1}
 UNION ALL SELECT '{0}', 'silver_documents', COUNT(*) FROM {2}

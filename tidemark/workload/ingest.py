@@ -11,7 +11,7 @@ from tidemark.plans.gates import bronze_documents_gate
 from tidemark.session import shared_dir
 from tidemark.sources import files, sinks
 from tidemark.sources.files import table
-from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream, run_to_end
+from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream
 from tidemark.workload import base
 from tidemark.workload.registry import register
 
@@ -131,8 +131,8 @@ def cdc_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = ChangeTarget(f"{root}/target", ("user_id",), log.schema, compact_every=4,
                           tie_break=("event_id",))
     stream = file_stream(spark, f"{root}/log", log.schema, max_files=1)
-    last = run_to_end(apply_changes(stream, target, f"{root}/checkpoint"))
-    return portable(target.current(spark, last, _STATE))
+    apply_changes(stream, target, f"{root}/checkpoint").awaitTermination()
+    return portable(target.current(spark, _STATE))
 
 
 # -- manifests -------------------------------------------------------------------

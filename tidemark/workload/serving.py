@@ -9,7 +9,7 @@ from tidemark.operators import cdc, serving
 from tidemark.plans.gates import serving_gate
 from tidemark.session import shared_dir
 from tidemark.sources import files, sinks
-from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream, run_to_end
+from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream
 from tidemark.workload import base
 from tidemark.workload.finance import contract_mart
 from tidemark.workload.registry import register
@@ -80,8 +80,8 @@ def serving_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     first.write.mode("append").parquet(f"{root}/feed")
     target = ChangeTarget(f"{root}/target", ("contract_id",), final.schema)
     stream = file_stream(spark, f"{root}/feed", final.schema, max_files=1)
-    last = run_to_end(apply_changes(stream, target, f"{root}/checkpoint"))
-    return portable(target.current(spark, last, _SERVED))
+    apply_changes(stream, target, f"{root}/checkpoint").awaitTermination()
+    return portable(target.current(spark, _SERVED))
 
 
 @register("serving_kpis", base.with_ctes(
