@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import col, is_blank
 from tidemark.functions.text import (
-    first_match, html_elements, term_hits, to_iso_date, to_number, tokens,
+    html_elements, term_hits, to_iso_date, to_number, tokens,
 )
 
 PARSED_SCHEMA = "struct<document:struct<elements:array<struct<content:string>>>,error_status:string>"
@@ -149,12 +149,17 @@ def _record(raw: Column, parts: Sequence[tuple[str, str]]) -> Column:
         for i, (name, kind) in enumerate(parts)])
 
 
-def _raw(text: Column, rule: FieldRule) -> Column:
-    """What the rule's pattern finds in the text; NULL when it finds nothing."""
+def _search(text: Column, rule: FieldRule) -> Column:
+    """What the rule's pattern finds in the text; empty when it finds nothing."""
     if rule.kind in ("list", "records"):
-        found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(1))
-        return F.when(F.size(found) > 0, found)
-    return first_match(text, rule.pattern)
+        return F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(1))
+    return F.trim(F.regexp_extract(text, rule.pattern, 1))
+
+
+def _found(raw: Column, rule: FieldRule) -> Column:
+    """A search result, NULL instead of empty."""
+    empty = F.size(raw) == 0 if rule.kind in ("list", "records") else raw == ""
+    return F.when(~empty, raw)
 
 
 def _value(raw: Column, rule: FieldRule) -> Column:
@@ -199,7 +204,7 @@ def extract(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
     names = {key: f"__raw{i}" for i, key in enumerate(users)}
     found = docs.select(
         *[col(k) for k in keep], col(doc_class).alias("doc_class"),
-        *[F.when(col(doc_class).isin(*users[key]), _raw(col(text), sample[key])).alias(name)
+        *[F.when(col(doc_class).isin(*users[key]), _search(col(text), sample[key])).alias(name)
           for key, name in names.items()])
 
     structs, problems = [], []
@@ -207,7 +212,7 @@ def extract(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
         mine = F.col("doc_class") == label
         fields, wrong = [], []
         for rule in rules:
-            raw = F.col(names[rule.pattern, rule.kind in ("list", "records")])
+            raw = _found(F.col(names[rule.pattern, rule.kind in ("list", "records")]), rule)
             value = _value(raw, rule)
             fields.append(value.alias(rule.name))
             problem = _problem(raw, value, rule)
