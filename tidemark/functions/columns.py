@@ -30,14 +30,51 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def exact_sum(value: str | Column) -> Column:
-    """Order-independent sum with six decimal places."""
-    return F.sum(col(value).cast(EXACT))
+# -- exact sums ------------------------------------------------------------------
+# Spark keeps the running sum of a decimal with more than 18 digits as a big-number
+# object per group. A decimal of up to 15 digits is a whole number of its smallest
+# units that also fits a double, so it can be summed as two bigints: the units above
+# and below 2**20. The sums stay exact and cannot overflow before 8.7e12 rows.
+_LIMB_BITS = 20
+_MAX_DIGITS = 15
 
 
-def exact_avg(value: str | Column) -> Column:
-    """Mean from an exact sum: the same double whatever the row order."""
-    return F.try_divide(exact_sum(value).cast("double"), F.count(col(value)))
+def narrow_decimal(data_type: T.DataType) -> bool:
+    return isinstance(data_type, T.DecimalType) and data_type.precision <= _MAX_DIGITS
+
+
+def limbs(value: Column, data_type: T.DecimalType) -> tuple[Column, Column]:
+    """A narrow decimal as (units // 2**20, units % 2**20)."""
+    if data_type.scale == 0:
+        units = value.cast("bigint")
+    else:
+        units = F.floor(value.cast("double") * F.lit(float(10 ** data_type.scale)) + F.lit(0.5))
+    return F.shiftright(units, _LIMB_BITS), units.bitwiseAND(F.lit((1 << _LIMB_BITS) - 1))
+
+
+def from_limbs(high: Column, low: Column, scale: int) -> Column:
+    """The decimal that two limb sums stand for."""
+    units = (high.cast("decimal(20,0)") * F.lit(1 << _LIMB_BITS).cast("decimal(7,0)")
+             + low.cast("decimal(20,0)"))
+    if scale:
+        units = units * F.lit("0." + "0" * (scale - 1) + "1").cast(T.DecimalType(scale, scale))
+    return units.cast(T.DecimalType(38, scale))
+
+
+def exact_sum(df: DataFrame, name: str) -> Column:
+    """The sum of a column; exact for decimals, and cheap for narrow ones."""
+    data_type = df.schema[name].dataType
+    if not narrow_decimal(data_type):
+        return F.sum(col(name))
+    high, low = limbs(col(name), data_type)
+    return from_limbs(F.sum(high), F.sum(low), data_type.scale)
+
+
+def exact_avg(df: DataFrame, name: str) -> Column:
+    """The mean of a column as a double; for decimals from their exact sum."""
+    if not isinstance(df.schema[name].dataType, T.DecimalType):
+        return F.avg(col(name))
+    return F.try_divide(exact_sum(df, name).cast("double"), F.count(col(name)))
 
 
 def any_value_of(value: str | Column) -> Column:
@@ -101,7 +138,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("bigint")
         elif isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
+            column = column.cast("string")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         out.append(column.alias(field.name))

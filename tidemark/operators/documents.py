@@ -96,9 +96,11 @@ def classify(docs: DataFrame, profiles: Sequence[LabelProfile], text: str = "par
 
     The label with the highest weighted term count wins; ties go to the label
     that sorts first, so every run predicts the same. Blank text gets NULL.
+    The text is split once, and only tokens that are a term are scored per label.
     """
     ordered = sorted(profiles, key=lambda p: p.label)
-    scored = docs.withColumn("__tokens", tokens(text))
+    every_term = sorted({t for p in ordered for t in p.terms})
+    scored = docs.withColumn("__tokens", tokens(text, every_term))
     candidates = F.array(*[
         F.struct((term_hits(F.col("__tokens"), p.terms) * p.weight).alias("score"),
                  F.lit(-i).alias("rank"), F.lit(p.label).alias("label"))
@@ -114,6 +116,8 @@ class FieldRule:
 
     ``kind``: string, number, integer, date or boolean; ``list`` gives all
     matches; ``records`` splits every match at ``|`` into typed ``parts``.
+    ``needs`` is text that every match contains; documents without it are not
+    searched, which spares them the far slower pattern.
     """
 
     name: str
@@ -121,6 +125,7 @@ class FieldRule:
     kind: str = "string"
     required: bool = False
     parts: tuple[tuple[str, str], ...] = ()
+    needs: str = ""
 
 
 def labelled(name: str, kind: str = "string", required: bool = False,
@@ -157,7 +162,7 @@ def _search(text: Column, rule: FieldRule) -> Column:
 
 
 def _found(raw: Column, rule: FieldRule) -> Column:
-    """A search result, NULL instead of empty."""
+    """A search result; NULL instead of empty."""
     empty = F.size(raw) == 0 if rule.kind in ("list", "records") else raw == ""
     return F.when(~empty, raw)
 
@@ -204,7 +209,8 @@ def extract(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
     names = {key: f"__raw{i}" for i, key in enumerate(users)}
     found = docs.select(
         *[col(k) for k in keep], col(doc_class).alias("doc_class"),
-        *[F.when(col(doc_class).isin(*users[key]), _search(col(text), sample[key])).alias(name)
+        *[F.when(col(doc_class).isin(*users[key]) & col(text).contains(sample[key].needs),
+                 _search(col(text), sample[key])).alias(name)
           for key, name in names.items()])
 
     structs, problems = [], []

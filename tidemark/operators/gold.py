@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, exact_avg, exact_sum
 
 
 def enrich(facts: DataFrame, documents: DataFrame, group_key: str, document_key: str,
@@ -30,14 +30,38 @@ def enrich(facts: DataFrame, documents: DataFrame, group_key: str, document_key:
     return joined.select("fact.*", *[F.col(f"doc.{name}") for name in carry])
 
 
+@dataclass(frozen=True)
+class Total:
+    """The exact sum of a column."""
+
+    column: str
+
+    def over(self, df: DataFrame) -> Column:
+        return exact_sum(df, self.column)
+
+
+@dataclass(frozen=True)
+class Mean:
+    """The mean of a column, from its exact sum where it is a decimal."""
+
+    column: str
+
+    def over(self, df: DataFrame) -> Column:
+        return exact_avg(df, self.column)
+
+
 @dataclass(frozen=True)
 class Mart:
     """Grain, measures and document attributes of a business-key mart."""
 
     group_key: str
-    measures: tuple[tuple[str, Column], ...]
+    measures: tuple[tuple[str, Column | Total | Mean], ...]
     attributes: tuple[str, ...] = ()
 
+    def aggregates(self, df: DataFrame) -> list[Column]:
+        return [(m.over(df) if isinstance(m, (Total, Mean)) else m).alias(name)
+                for name, m in self.measures]
+
 
 def mart_from_detail(detail: DataFrame, mart: Mart) -> DataFrame:
     """The mart of a persisted detail table: one aggregation by the business key.
@@ -47,7 +71,7 @@ def mart_from_detail(detail: DataFrame, mart: Mart) -> DataFrame:
     """
     return detail.groupBy(col(mart.group_key)).agg(
         *[F.max(col(a)).alias(a) for a in mart.attributes],
-        *[measure.alias(name) for name, measure in mart.measures])
+        *mart.aggregates(detail))
 
 
 def mart_from_source(facts: DataFrame, documents: DataFrame, mart: Mart,
@@ -58,8 +82,7 @@ def mart_from_source(facts: DataFrame, documents: DataFrame, mart: Mart,
     per split) and documents join the already unique business keys.
     """
     keep = {name: carry[name] for name in mart.attributes}
-    totals = facts.groupBy(col(mart.group_key)).agg(
-        *[measure.alias(name) for name, measure in mart.measures])
+    totals = facts.groupBy(col(mart.group_key)).agg(*mart.aggregates(facts))
     enriched = enrich(totals, documents, mart.group_key, document_key, keep)
     return enriched.select(
         col(mart.group_key), *[col(a) for a in mart.attributes],

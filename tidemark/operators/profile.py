@@ -43,7 +43,7 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
     return df.agg(F.array(*summaries).alias("columns")).select(F.inline("columns"))
 
 
-def sensitive_matches(df: DataFrame, table: str, detectors: Mapping[str, str] | None = None,
+def sensitive_matches(df: DataFrame, table: str, detectors: Mapping[str, tuple[str, str]] | None = None,
                       columns: Sequence[str] | None = None) -> DataFrame:
     """Per text column and detector: non-null values and how many match, in one pass."""
     rules = dict(detectors or DETECTORS)
@@ -52,8 +52,8 @@ def sensitive_matches(df: DataFrame, table: str, detectors: Mapping[str, str] |
     cells = [
         F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
                  F.lit(kind).alias("detector"), F.count(col(name)).alias("values_checked"),
-                 F.count_if(col(name).rlike(pattern)).alias("matches"))
-        for name in names for kind, pattern in rules.items()]
+                 F.count_if(col(name).contains(needs) & col(name).rlike(pattern)).alias("matches"))
+        for name in names for kind, (pattern, needs) in rules.items()]
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 

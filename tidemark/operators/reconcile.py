@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.columns import EXACT, col
+from tidemark.functions.columns import EXACT, col, exact_sum
 
 
 def identity_diff(expected: DataFrame, observed: DataFrame, key: str,
@@ -75,13 +75,13 @@ class MeasureCheck:
     kind: str = "sum"  # sum | count | count_distinct
     source_column: str | None = None
 
-    def expected(self) -> Column:
-        source = col(self.source_column or self.mart_column)
+    def expected(self, source: DataFrame) -> Column:
+        name = self.source_column or self.mart_column
         if self.kind == "count":
             return F.count(F.lit(1))
         if self.kind == "count_distinct":
-            return F.count_distinct(source)
-        return F.sum(source.cast(EXACT))
+            return F.count_distinct(col(name))
+        return exact_sum(source, name).cast(EXACT)
 
     def observed(self) -> Column:
         value = col(self.mart_column)
@@ -99,7 +99,7 @@ def measure_comparison(source: DataFrame, mart: DataFrame, group_key: str, mart_
     """
     same = source.schema[group_key].dataType == mart.schema[mart_key].dataType
     grouped = source.groupBy(col(group_key).alias("__k")).agg(
-        *[c.expected().alias(f"__e{i}") for i, c in enumerate(checks)])
+        *[c.expected(source).alias(f"__e{i}") for i, c in enumerate(checks)])
     expected = grouped.withColumn("__source", F.lit(True))
     observed = mart.select(
         col(mart_key).alias("__mk"), F.lit(True).alias("__mart"),

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.columns import EXACT, col, is_blank
+from tidemark.functions.columns import col, from_limbs, is_blank, limbs, narrow_decimal
 
 
 @dataclass(frozen=True)
@@ -181,8 +181,7 @@ class MetricView:
         partials = [_Partial(m, f"__m{i}") for i, m in enumerate(atomic)]
         joins = self._needed_joins(all_dims)
 
-        rows = tables[self.source]
-        rows = self._project(rows, all_dims, joins, partials)
+        rows = self._project(tables[self.source], all_dims, joins, partials)
         rows = _filter(rows, filters, [d for d in all_dims if d.join is None])
         for position, join in enumerate(joins):
             if not join.bounded:
@@ -208,10 +207,15 @@ class MetricView:
     @staticmethod
     def _project(rows: DataFrame, dims: Sequence[Dimension], joins: Sequence[Join],
                  partials: Sequence[_Partial]) -> DataFrame:
-        """Source rows as local dimensions, join keys and measure inputs only."""
+        """Source rows as local dimensions, join keys and mergeable measure inputs only."""
         local = [F.expr(d.expr).alias(d.name) for d in dims if d.join is None]
         keys = [F.expr(j.left_key).alias(f"__key_{j.name}") for j in joins if j.after is None]
-        return rows.select(*local, *keys, *[c for p in partials for c in p.inputs()])
+        raw = rows.select(*local, *keys, *[p.raw() for p in partials])
+        for p in partials:
+            p.data_type = raw.schema[p.prefix].dataType
+        return raw.select(*[col(d.name) for d in dims if d.join is None],
+                          *[col(f"__key_{j.name}") for j in joins if j.after is None],
+                          *[c for p in partials for c in p.inputs()])
 
     @staticmethod
     def _join(rows: DataFrame, tables: Mapping[str, DataFrame], join: Join,
@@ -263,35 +267,45 @@ class _Partial:
     """One atomic measure as inputs, mergeable partial sums and a final value.
 
     A distinct count has no mergeable sum: its value column stays a grouping
-    column until the last aggregation.
+    column until the last aggregation. A narrow decimal is summed in two bigint
+    limbs, and put together after the last aggregation.
     """
 
     def __init__(self, measure: Measure, prefix: str):
         self.measure, self.prefix = measure, prefix
+        self.data_type: T.DataType = T.LongType()  # set from the projected input
 
     @property
     def distinct_column(self) -> str | None:
         return self.prefix if self.measure.kind == "count_distinct" else None
 
+    @property
+    def _in_limbs(self) -> bool:
+        return self.measure.kind in ("sum", "avg") and narrow_decimal(self.data_type)
+
+    def raw(self) -> Column:
+        if self.measure.kind == "count":
+            return F.lit(1).cast("bigint").alias(self.prefix)
+        return F.expr(self.measure.expr).alias(self.prefix)
+
     def inputs(self) -> list[Column]:
-        kind, p = self.measure.kind, self.prefix
-        if kind == "count":
-            return [F.lit(1).cast("bigint").alias(p)]
-        value = F.expr(self.measure.expr)
-        if kind == "avg":
-            return [value.cast(EXACT).alias(p),
-                    F.when(value.isNotNull(), F.lit(1)).otherwise(0).cast("bigint").alias(p + "n")]
-        return [value.alias(p)]
+        p, value = self.prefix, F.col(self.prefix)
+        if self._in_limbs:
+            high, low = limbs(value, self.data_type)
+            out = [high.alias(p), low.alias(p + "l")]
+        else:
+            out = [value]
+        if self.measure.kind == "avg":
+            out.append(F.when(value.isNotNull(), F.lit(1)).otherwise(0).cast("bigint").alias(p + "n"))
+        return out
 
     def _merge(self) -> list[tuple[str, Callable[[str], Column]]]:
         kind, p = self.measure.kind, self.prefix
-        if kind in ("count", "sum"):
-            return [(p, F.sum)]
-        if kind == "avg":
-            return [(p, F.sum), (p + "n", F.sum)]
         if kind in ("min", "max"):
             return [(p, getattr(F, kind))]
-        return []
+        if kind == "count_distinct":
+            return []
+        return [(p, F.sum)] + [(p + "l", F.sum)] * self._in_limbs + [(p + "n", F.sum)] * (kind == "avg")
 
     def merges(self) -> list[Column]:
         return [how(p).alias(p) for p, how in self._merge()]
@@ -302,12 +316,13 @@ class _Partial:
         return self.merges()
 
     def value(self) -> Column:
-        p = self.prefix
-        if self.measure.kind == "avg":
-            return F.try_divide(F.col(p).cast("double"), F.col(p + "n"))
-        if self.measure.kind == "count":
-            return F.coalesce(F.col(p), F.lit(0))
-        return F.col(p)
+        kind, p = self.measure.kind, self.prefix
+        value = F.col(p)
+        if self._in_limbs:
+            value = from_limbs(value, F.col(p + "l"), self.data_type.scale)
+        if kind == "avg":
+            return F.try_divide(value.cast("double"), F.col(p + "n"))
+        return F.coalesce(value, F.lit(0)) if kind == "count" else value
 
 
 def _preaggregate(rows: DataFrame, partials: Sequence[_Partial]) -> DataFrame:

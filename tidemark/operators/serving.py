@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions.columns import col, exact_avg
+from tidemark.functions.columns import col, exact_avg, exact_sum
 
 # A category column has more than one and at most 25 values.
 MIN_CATEGORIES = 2
@@ -22,11 +22,8 @@ def kpis(df: DataFrame) -> DataFrame:
     numeric = numeric_columns(df)
     if not numeric:
         mean = F.lit(None).cast("double")
-    elif isinstance(df.schema[numeric[0]].dataType, T.FractionalType) and not isinstance(
-            df.schema[numeric[0]].dataType, T.DecimalType):
-        mean = F.avg(col(numeric[0]))
     else:
-        mean = exact_avg(numeric[0])
+        mean = exact_avg(df, numeric[0])
     return df.agg(F.count(F.lit(1)).alias("row_count"),
                   F.lit(len(df.columns)).cast("bigint").alias("column_count"),
                   F.lit(numeric[0] if numeric else None).alias("metric"),
@@ -54,7 +51,7 @@ def category_column(df: DataFrame, candidates: Sequence[str] | None = None) -> s
 
 def top_categories(df: DataFrame, category: str, metric: str, k: int = 10) -> DataFrame:
     """The ``k`` categories with the largest metric totals."""
-    return (df.groupBy(col(category)).agg(F.sum(col(metric)).alias("total"))
+    return (df.groupBy(col(category)).agg(exact_sum(df, metric).alias("total"))
             .where(col(category).isNotNull())
             .orderBy(F.desc("total"), col(category)).limit(k))
 

@@ -9,8 +9,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.columns import exact_avg, severity_band
-from tidemark.operators.gold import Mart, enrich, mart_from_detail, mart_from_source
+from tidemark.functions.columns import severity_band
+from tidemark.operators.gold import Mart, Mean, Total, enrich, mart_from_detail, mart_from_source
 from tidemark.operators.reconcile import MeasureCheck
 
 
@@ -68,13 +68,13 @@ def finance() -> DomainSpec:
             ("last_sale_date", F.max("sale_date")),
             ("transaction_count", F.count("transaction_id")),
             ("order_count", F.count_distinct("order_id")),
-            ("total_units", F.sum("units")),
-            ("gross_sales", F.sum("gross_sales")),
-            ("discount_amount", F.sum("discount_amount")),
-            ("net_sales", F.sum("net_sales")),
-            ("cost_of_goods", F.sum("cost_of_goods")),
-            ("gross_margin", F.sum("gross_margin")),
-            ("average_discount_pct", exact_avg("discount_pct")),
+            ("total_units", Total("units")),
+            ("gross_sales", Total("gross_sales")),
+            ("discount_amount", Total("discount_amount")),
+            ("net_sales", Total("net_sales")),
+            ("cost_of_goods", Total("cost_of_goods")),
+            ("gross_margin", Total("gross_margin")),
+            ("average_discount_pct", Mean("discount_pct")),
         ))
     return DomainSpec(
         name="finance", source_key="transaction_id", group_key="contract_id",
@@ -122,10 +122,10 @@ def security() -> DomainSpec:
             ("affected_assets", F.count_distinct("asset_id")),
             ("open_findings", _sum_if(F.col("status") == "Open")),
             ("critical_findings", _sum_if(F.col("severity") == "Critical")),
-            ("remediation_hours", F.sum("remediation_hours")),
-            ("asset_value_at_risk", F.sum("asset_value_at_risk")),
-            ("weighted_risk", F.sum("weighted_risk")),
-            ("average_cvss", exact_avg("cvss_score")),
+            ("remediation_hours", Total("remediation_hours")),
+            ("asset_value_at_risk", Total("asset_value_at_risk")),
+            ("weighted_risk", Total("weighted_risk")),
+            ("average_cvss", Mean("cvss_score")),
         ))
     return DomainSpec(
         name="security", source_key="finding_id", group_key="cve_id",
@@ -153,7 +153,7 @@ def itsm() -> DomainSpec:
             ("assignment_group", F.max("assignment_group")),
             ("configuration_item", F.max("configuration_item")),
             ("incident_count", F.count("ticket_id")),
-            ("mttr_hours", exact_avg("resolution_hours")),
+            ("mttr_hours", Mean("resolution_hours")),
             ("sla_breach_count", _sum_if(F.col("sla_breached"))),
         ))
     return DomainSpec(

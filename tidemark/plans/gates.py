@@ -178,7 +178,7 @@ def _group_summaries(spec: DomainSpec, source: DataFrame, documents: DataFrame |
     # Business keys as the source has them, with the measures the mart must show.
     by_group = source.groupBy(col(spec.group_key).alias("__g")).agg(
         F.count(F.lit(1)).alias("__n"),
-        *[c.expected().alias(f"__e{i}") for i, c in enumerate(checks)])
+        *[c.expected(source).alias(f"__e{i}") for i, c in enumerate(checks)])
     layers = [layer(by_group, F.col("__g"), {"src": F.col("__n")},
                     {f"e{i}": F.col(f"__e{i}") for i in range(len(checks))})]
     if documents is not None:

@@ -1,34 +1,43 @@
 """The benchmark tables read as the domains' transactions and documents.
 
-Money becomes decimal before any arithmetic, so sums are exact in any order.
+The tables hold money as doubles that are whole cents. The sales amounts are kept
+as whole ten-thousandths of the currency unit, in which discounts are exact too,
+so sums do not depend on row order; ``in_currency`` gives currency units back.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.columns import severity_band
+from tidemark.functions.columns import exact_sum, severity_band
 from tidemark.sources.files import (
     CHANGE_LSN, CHANGE_ORDER, CHANGE_TIME, CHANGE_TYPE, CHANGE_XID, table,
 )
 
-COST_RATE = "0.6"  # cost of goods as a share of gross sales; the tables have no cost
+COST_PERCENT = 60  # cost of goods as a share of gross sales; the tables have no cost
+MONEY = ("gross_sales", "discount_amount", "net_sales", "cost_of_goods", "gross_margin")
+MONEY_UNITS = 10_000
 SLA_HOURS = 720
 
 
 # -- finance -------------------------------------------------------------------
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales at order-line grain; dimensions are joins away (see ``plans.metrics``)."""
-    gross = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = gross * F.col("l_discount").cast("decimal(4,2)")
-    cost = gross * F.lit(COST_RATE).cast("decimal(2,1)")
+    cents = F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5))
+    percent = F.floor(F.col("l_discount") * 100 + F.lit(0.5))
+    gross, discount, cost = cents * 100, cents * percent, cents * COST_PERCENT
+    amounts = (gross, discount, gross - discount, cost, gross - discount - cost)
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey",
         F.col("l_quantity").cast("bigint").alias("units"),
         F.col("l_discount").cast("decimal(6,4)").alias("discount_pct"),
-        gross.alias("gross_sales"), discount.alias("discount_amount"),
-        (gross - discount).alias("net_sales"), cost.alias("cost_of_goods"),
-        (gross - discount - cost).alias("gross_margin"))
+        *[amount.cast("decimal(15,0)").alias(name) for name, amount in zip(MONEY, amounts)])
+
+
+def in_currency(df: DataFrame) -> DataFrame:
+    """Sales amounts as doubles in currency units."""
+    return df.withColumns({
+        c: F.col(c).cast("double") / MONEY_UNITS for c in df.columns if c in MONEY})
 
 
 def sales_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,22 +46,21 @@ def sales_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines are summed by order before the join. The aggregate is already
     partitioned by the join key, so lines are shuffled once.
     """
-    amounts = ("gross_sales", "discount_amount", "net_sales", "cost_of_goods", "gross_margin")
-    lines = sales_lines(spark, sf_dir).groupBy("l_orderkey").agg(
+    raw = sales_lines(spark, sf_dir)
+    lines = raw.groupBy("l_orderkey").agg(
         F.sum("units").alias("units"), F.max("discount_pct").alias("discount_pct"),
-        *[F.sum(a).alias(a) for a in amounts])
+        *[exact_sum(raw, a).cast("decimal(15,0)").alias(a) for a in MONEY])
     orders = table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
         F.col("o_orderkey").alias("transaction_id"),
-        F.concat_ws("-", F.col("o_custkey").cast("string"), F.date_format(day, "yyyyMMdd"))
-        .alias("order_id"),
+        F.concat_ws("-", F.col("o_custkey").cast("string"), day.cast("string")).alias("order_id"),
         day.alias("sale_date"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderpriority").alias("sales_channel"),
         F.col("o_custkey").alias("contract_id"),
         *[F.coalesce(F.col(c), F.lit(0).cast(lines.schema[c].dataType)).alias(c)
-          for c in ("units", "discount_pct", *amounts)])
+          for c in ("units", "discount_pct", *MONEY)])
 
 
 def agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +72,8 @@ def agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(".pdf")).alias("path"),
         F.concat("c_name", F.lit(".pdf")).alias("filename"),
         F.col("c_name").alias("customer_name"),
-        F.date_format(start, "yyyy-MM-dd").alias("effective_date"),
-        F.date_format(F.date_add(start, 3650), "yyyy-MM-dd").alias("expiration_date"),
+        start.cast("string").alias("effective_date"),
+        F.date_add(start, 3650).cast("string").alias("expiration_date"),
         F.lit("USD").alias("currency"),
         F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("minimum_procedure_commitment"),
         F.when(F.col("c_acctbal") >= 5000, "tier 1").otherwise("tier 2").alias("rebate_terms"),
@@ -114,8 +122,8 @@ def advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(".pdf")).alias("path"),
         F.concat("c_name", F.lit(".pdf")).alias("filename"),
         F.concat(F.lit("Advisory on "), F.col("c_name")).alias("title"),
-        F.date_format(F.date_add(F.lit("2023-01-01").cast("date"), F.col("c_nationkey") * 7),
-                      "yyyy-MM-dd").alias("published_date"),
+        F.date_add(F.lit("2023-01-01").cast("date"), F.col("c_nationkey") * 7).cast("string")
+        .alias("published_date"),
         F.when(F.col("c_acctbal") >= 5000, "High").otherwise("Low").alias("severity"),
         F.lit("5.0").cast("decimal(3,1)").alias("cvss_score"),
         F.concat(F.lit("Patch "), F.col("c_mktsegment")).alias("recommended_remediation")))
@@ -142,8 +150,8 @@ def service_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Group "), (F.col("o_custkey") % 7).cast("string")).alias("assignment_group"),
         F.concat(F.lit("Service "), F.col("o_orderstatus")).alias("service"),
         F.concat(F.lit("ci-"), F.col("o_custkey").cast("string")).alias("configuration_item"),
-        F.date_format(opened, "yyyy-MM-dd").alias("opened_at"),
-        F.when(done, F.date_format(resolved, "yyyy-MM-dd")).alias("resolved_at"),
+        opened.cast("string").alias("opened_at"),
+        F.when(done, resolved.cast("string")).alias("resolved_at"),
         hours.alias("resolution_hours"),
         F.coalesce(hours > SLA_HOURS, F.lit(False)).alias("sla_breached"))
 

@@ -23,7 +23,7 @@ order_lines AS (
   FROM lines GROUP BY l_orderkey),
 sales AS (
   SELECT o_orderkey AS transaction_id,
-         CAST(o_custkey AS VARCHAR) || '-' || strftime(o_orderdate, '%Y%m%d') AS order_id,
+         CAST(o_custkey AS VARCHAR) || '-' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_id,
          CAST(o_orderdate AS DATE) AS sale_date, o_custkey AS customer_id,
          o_orderpriority AS sales_channel, o_custkey AS contract_id,
          COALESCE(units, 0) AS units, COALESCE(discount_pct, 0) AS discount_pct,

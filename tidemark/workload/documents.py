@@ -25,12 +25,12 @@ VERSION = r"(?i)(?:version|BY-NC) ([0-9]+(?:\.[0-9]+)?)"
 TOKEN = r'token = "([0-9a-f]+)"'
 
 NOTE_FIELDS = (
-    FieldRule("contact_email", EMAIL), FieldRule("contact_phone", PHONE),
+    FieldRule("contact_email", EMAIL, needs="@"), FieldRule("contact_phone", PHONE, needs="+"),
     FieldRule("host_address", ADDRESS), FieldRule("card_number", CARD, "integer"),
     FieldRule("license_version", VERSION, "number"),
 )
 # The same with a field that is there but is never a number: its rows are errors.
-STRICT_FIELDS = (*NOTE_FIELDS, FieldRule("token", TOKEN, "integer"))
+STRICT_FIELDS = (*NOTE_FIELDS, FieldRule("token", TOKEN, "integer", needs="token"))
 NOTE_CONTRACTS = {p.label: NOTE_FIELDS for p in LANGUAGES}
 STRICT_CONTRACTS = {p.label: STRICT_FIELDS for p in LANGUAGES}
 

@@ -9,6 +9,7 @@ from tidemark.operators import gold, integrity, reconcile
 from tidemark.plans import metrics, standins
 from tidemark.plans.domains import domain_spec
 from tidemark.plans.gates import bronze_transactions_gate, gold_gate
+from tidemark.plans.standins import in_currency
 from tidemark.session import shared_dir
 from tidemark.sources.files import select_contract, table
 from tidemark.sources.sinks import materialize
@@ -22,7 +23,7 @@ def snake(df: DataFrame) -> DataFrame:
 
 
 def report(df: DataFrame) -> DataFrame:
-    return portable(snake(df))
+    return portable(in_currency(snake(df)))
 
 
 def written_gold(spark: SparkSession, spec, facts: DataFrame, documents: DataFrame,
@@ -65,7 +66,7 @@ FROM contract_mart"""
 @register("mart_contract_performance",
           base.with_ctes(_MART_SQL, base.SALES, base.AGREEMENTS, base.CONTRACT_MART))
 def mart_contract_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(contract_mart(spark, sf_dir))
+    return report(contract_mart(spark, sf_dir))
 
 
 _DETAIL_SQL = """SELECT s.transaction_id, s.order_id, CAST(s.sale_date AS VARCHAR) AS sale_date,
@@ -86,7 +87,7 @@ FROM sales s LEFT JOIN agreements a ON s.contract_id = a.agreement_id"""
 
 @register("gold_detail_sales", base.with_ctes(_DETAIL_SQL, base.SALES, base.AGREEMENTS))
 def gold_detail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(domain_spec("finance").detail(
+    return report(domain_spec("finance").detail(
         standins.sales_transactions(spark, sf_dir), standins.agreements(spark, sf_dir)))
 
 
@@ -96,7 +97,7 @@ def gold_detail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
   average_discount_pct FROM contract_mart ORDER BY net_sales DESC, contract_id""",
     base.SALES, base.AGREEMENTS, base.CONTRACT_MART))
 def preview_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(gold.preview(
+    return report(gold.preview(
         contract_mart(spark, sf_dir),
         ["contract_id", "contract_customer_name", "transaction_count", "net_sales",
          "gross_margin", "average_discount_pct"], "net_sales", "contract_id"))
@@ -106,7 +107,7 @@ def preview_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT transaction_id, order_id, CAST(sale_date AS VARCHAR) AS sale_date, contract_id,
   CAST(net_sales AS DOUBLE) AS net_sales FROM sales""", base.SALES))
 def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(select_contract(
+    return report(select_contract(
         standins.sales_transactions(spark, sf_dir),
         ["transaction_id", "order_id", "sale_date", "contract_id", "net_sales"]))
 

@@ -77,7 +77,7 @@ def _matches_sql() -> str:
         f"COUNT({c}) AS values_checked, "
         f"COUNT(*) FILTER (WHERE regexp_matches({c}, '{pattern}')) AS matches FROM {t}"
         for t, columns in TEXT_COLUMNS.items() for c in columns
-        for kind, pattern in DETECTORS.items()]
+        for kind, (pattern, _) in DETECTORS.items()]
     return "matched AS (" + "\nUNION ALL ".join(rows) + ")"
 
 
@@ -154,17 +154,17 @@ def _mean(value: str) -> str:
 _SANITY = "\nUNION ALL ".join([
     _sanity_sql("finance_sales_metrics", "lines", {
         "Transaction Count": "COUNT(*)", "Order Count": "COUNT(DISTINCT l_orderkey)",
-        "Units Sold": "SUM(units)", "Gross Sales": "SUM(gross_sales)",
-        "Net Sales": "SUM(net_sales)", "Gross Margin": "SUM(gross_margin)",
+        "Units Sold": "SUM(units)", "Gross Sales": "SUM(gross_sales) * 10000",
+        "Net Sales": "SUM(net_sales) * 10000", "Gross Margin": "SUM(gross_margin) * 10000",
         "Gross Margin Percent": _ratio("SUM(gross_margin)", "SUM(net_sales)")}),
     _sanity_sql("finance_contract_metrics", "contract_mart", {
         "Transaction Count": "SUM(transaction_count)", "Order Count": "SUM(order_count)",
-        "Total Units": "SUM(total_units)", "Gross Sales": "SUM(gross_sales)",
-        "Net Sales": "SUM(net_sales)", "Gross Margin": "SUM(gross_margin)",
+        "Total Units": "SUM(total_units)", "Gross Sales": "SUM(gross_sales) * 10000",
+        "Net Sales": "SUM(net_sales) * 10000", "Gross Margin": "SUM(gross_margin) * 10000",
         "Gross Margin Percent": _ratio("SUM(gross_margin)", "SUM(net_sales)")}),
     _sanity_sql("finance_discount_metrics", "lines", {
-        "Gross Sales": "SUM(gross_sales)", "Discount Amount": "SUM(discount_amount)",
-        "Net Sales": "SUM(net_sales)",
+        "Gross Sales": "SUM(gross_sales) * 10000", "Discount Amount": "SUM(discount_amount) * 10000",
+        "Net Sales": "SUM(net_sales) * 10000",
         "Discount Rate": _ratio("SUM(discount_amount)", "SUM(gross_sales)")}),
     _sanity_sql("security_findings_metrics", "findings", {
         "Finding Count": "COUNT(*)", "Scan Count": "COUNT(DISTINCT scan_id)",
@@ -183,7 +183,7 @@ _SANITY = "\nUNION ALL ".join([
         "SLA Breach Count": "SUM(CASE WHEN sla_breached THEN 1 ELSE 0 END)"}),
     _sanity_sql("itsm_service_metrics", "service_mart", {
         "Incident Volume": "SUM(incident_count)",
-        "MTTR Hours": _mean("CAST(mttr_hours AS DECIMAL(38,6))"),
+        "MTTR Hours": _mean("mttr_hours"),
         "SLA Breach Count": "SUM(sla_breach_count)"}),
 ])
 

@@ -116,7 +116,7 @@ def q_ci_by_service(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("metric_services_all", base.with_ctes(
     """SELECT service, priority, CAST(SUM(incident_count) AS BIGINT) AS incident_volume,
-  ROUND(CAST(SUM(CAST(mttr_hours AS DECIMAL(38,6))) AS DOUBLE) / NULLIF(COUNT(mttr_hours), 0), 6) AS mttr_hours,
+  ROUND(AVG(mttr_hours), 6) AS mttr_hours,
   CAST(SUM(sla_breach_count) AS BIGINT) AS sla_breach_count
 FROM service_mart GROUP BY service, priority""", base.TICKETS, base.REPORTS, base.SERVICE_MART))
 def metric_services_all(spark: SparkSession, sf_dir: str) -> DataFrame:

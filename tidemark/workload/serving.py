@@ -11,7 +11,7 @@ from tidemark.session import shared_dir
 from tidemark.sources import files, sinks
 from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream
 from tidemark.workload import base
-from tidemark.workload.finance import contract_mart
+from tidemark.workload.finance import contract_mart, report
 from tidemark.workload.registry import register
 from tidemark.workload.security import cve_mart
 
@@ -37,13 +37,13 @@ def _served_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("serving_snapshot", base.with_ctes(_SERVED_SQL, *_CONTRACTS))
 def serving_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(_publish(spark, sf_dir)[1].select(*_SERVED))
+    return report(_publish(spark, sf_dir)[1].select(*_SERVED))
 
 
 @register("serving_rows", base.with_ctes(
     _SERVED_SQL + " ORDER BY contract_id LIMIT 100", *_CONTRACTS))
 def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(files.serving_rows(
+    return report(files.serving_rows(
         _publish(spark, sf_dir)[1].select(*_SERVED), "contract_id", 100))
 
 
@@ -81,7 +81,7 @@ def serving_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = ChangeTarget(f"{root}/target", ("contract_id",), final.schema)
     stream = file_stream(spark, f"{root}/feed", final.schema, max_files=1)
     apply_changes(stream, target, f"{root}/checkpoint").awaitTermination()
-    return portable(target.current(spark, _SERVED))
+    return report(target.current(spark, _SERVED))
 
 
 @register("serving_kpis", base.with_ctes(
