@@ -8,13 +8,13 @@ import math
 
 import duckdb
 
+from tidemark.sources.tables import SCHEMAS
 from tidemark.workload import ORACLES, QUERIES
-from tidemark.workload.ingest import TABLES
 
 
 def connect(sf_dir: str):
     connection = duckdb.connect()
-    for name in TABLES:
+    for name in SCHEMAS:
         connection.execute(
             f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
     return connection

@@ -52,26 +52,46 @@ class Mean:
 
 @dataclass(frozen=True)
 class Mart:
-    """Grain, measures and document attributes of a business-key mart."""
+    """Grain, measures and attributes of a business-key mart.
+
+    ``attributes`` come from the document and ``fact_attributes`` from the facts;
+    both depend on the business key.
+    """
 
     group_key: str
     measures: tuple[tuple[str, Column | Total | Mean], ...]
     attributes: tuple[str, ...] = ()
-
-    def aggregates(self, df: DataFrame) -> list[Column]:
-        return [(m.over(df) if isinstance(m, (Total, Mean)) else m).alias(name)
-                for name, m in self.measures]
+    fact_attributes: tuple[str, ...] = ()
+
+    @property
+    def columns(self) -> list[str]:
+        return [self.group_key, *self.attributes, *self.fact_attributes,
+                *[name for name, _ in self.measures]]
+
+    def totals(self, df: DataFrame, attributes: Sequence[str]) -> DataFrame:
+        """Measures and attributes by business key.
+
+        The two are aggregated apart. Measures keep to fixed-width buffers and so
+        stay in a hash aggregation; one text among them would turn it into a sort
+        of all rows. Attributes are first reduced to their distinct values, and
+        their first non-null one is taken by ``max``, which does not depend on
+        row order. Both sides end up partitioned by the key that joins them.
+        """
+        key = col(self.group_key)
+        measured = df.groupBy(key).agg(*[
+            (m.over(df) if isinstance(m, (Total, Mean)) else m).alias(name)
+            for name, m in self.measures])
+        if not attributes:
+            return measured
+        described = df.select(key, *[col(a) for a in attributes]).distinct().groupBy(key).agg(
+            *[F.max(col(a)).alias(a) for a in attributes])
+        return measured.join(described, self.group_key, "left")
 
 
 def mart_from_detail(detail: DataFrame, mart: Mart) -> DataFrame:
-    """The mart of a persisted detail table: one aggregation by the business key.
-
-    Document attributes depend on the business key, so ``max`` returns their
-    first non-null value without depending on row order.
-    """
-    return detail.groupBy(col(mart.group_key)).agg(
-        *[F.max(col(a)).alias(a) for a in mart.attributes],
-        *mart.aggregates(detail))
+    """The mart of a persisted detail table."""
+    totals = mart.totals(detail, [*mart.attributes, *mart.fact_attributes])
+    return totals.select(*[col(c) for c in mart.columns])
 
 
 def mart_from_source(facts: DataFrame, documents: DataFrame, mart: Mart,
@@ -82,11 +102,9 @@ def mart_from_source(facts: DataFrame, documents: DataFrame, mart: Mart,
     per split) and documents join the already unique business keys.
     """
     keep = {name: carry[name] for name in mart.attributes}
-    totals = facts.groupBy(col(mart.group_key)).agg(*mart.aggregates(facts))
-    enriched = enrich(totals, documents, mart.group_key, document_key, keep)
-    return enriched.select(
-        col(mart.group_key), *[col(a) for a in mart.attributes],
-        *[col(name) for name, _ in mart.measures])
+    enriched = enrich(mart.totals(facts, mart.fact_attributes), documents, mart.group_key,
+                      document_key, keep)
+    return enriched.select(*[col(c) for c in mart.columns])
 
 
 def expected_enriched(facts: DataFrame, documents: DataFrame, source_key: str,

@@ -109,9 +109,8 @@ def security() -> DomainSpec:
         group_key="cve_id",
         attributes=("advisory_document_path", "advisory_document_filename", "advisory_title",
                     "advisory_published_date", "advisory_recommended_remediation"),
+        fact_attributes=("vulnerability_title", "vulnerability_category"),
         measures=(
-            ("vulnerability_title", F.max("vulnerability_title")),
-            ("vulnerability_category", F.max("vulnerability_category")),
             ("severity", severity_band(F.max("cvss_score"))),
             ("cvss_score", F.max("cvss_score")),
             ("exploit_available", F.max("exploit_available")),
@@ -147,11 +146,8 @@ def itsm() -> DomainSpec:
     mart = Mart(
         group_key="incident_id",
         attributes=("incident_document_path",),
+        fact_attributes=("service", "priority", "assignment_group", "configuration_item"),
         measures=(
-            ("service", F.max("service")),
-            ("priority", F.max("priority")),
-            ("assignment_group", F.max("assignment_group")),
-            ("configuration_item", F.max("configuration_item")),
             ("incident_count", F.count("ticket_id")),
             ("mttr_hours", Mean("resolution_hours")),
             ("sla_breach_count", _sum_if(F.col("sla_breached"))),

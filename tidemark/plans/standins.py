@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import exact_sum, severity_band
 from tidemark.sources.files import (
-    CHANGE_LSN, CHANGE_ORDER, CHANGE_TIME, CHANGE_TYPE, CHANGE_XID, table,
+    CHANGE_LSN, CHANGE_ORDER, CHANGE_TIME, CHANGE_TYPE, CHANGE_XID,
 )
+from tidemark.sources.tables import table
 
 COST_PERCENT = 60  # cost of goods as a share of gross sales; the tables have no cost
 MONEY = ("gross_sales", "discount_amount", "net_sales", "cost_of_goods", "gross_margin")

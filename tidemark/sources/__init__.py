@@ -1 +1 @@
-"""Scans (``files``) and sinks (``sinks``)."""
+"""Scans (``files``, ``tables``) and sinks (``sinks``)."""

@@ -22,11 +22,6 @@ class ContractError(ValueError):
     """A source does not offer the columns its reader needs."""
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of a data directory."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A committed snapshot directory."""
     return spark.read.format(fmt).load(path)

@@ -12,7 +12,7 @@ from tidemark.plans.gates import silver_gate
 from tidemark.plans.languages import LANGUAGES
 from tidemark.session import shared_dir
 from tidemark.sources import sinks
-from tidemark.sources.files import table
+from tidemark.sources.tables import table
 from tidemark.workload import base
 from tidemark.workload.registry import register
 

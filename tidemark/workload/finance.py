@@ -11,7 +11,8 @@ from tidemark.plans.domains import domain_spec
 from tidemark.plans.gates import bronze_transactions_gate, gold_gate
 from tidemark.plans.standins import in_currency
 from tidemark.session import shared_dir
-from tidemark.sources.files import select_contract, table
+from tidemark.sources.files import select_contract
+from tidemark.sources.tables import table
 from tidemark.sources.sinks import materialize
 from tidemark.workload import base
 from tidemark.workload.registry import register

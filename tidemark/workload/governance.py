@@ -15,7 +15,7 @@ from tidemark.plans.domains import domain_spec
 from tidemark.plans.gates import metadata_gate, metrics_gate
 from tidemark.plans.medallion import run_domain
 from tidemark.session import shared_dir
-from tidemark.sources.files import table
+from tidemark.sources.tables import table
 from tidemark.sources.sinks import materialize
 from tidemark.workload import base
 from tidemark.workload.finance import contract_tables, sales_tables

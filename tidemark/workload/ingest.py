@@ -10,18 +10,16 @@ from tidemark.plans import standins
 from tidemark.plans.gates import bronze_documents_gate
 from tidemark.session import shared_dir
 from tidemark.sources import files, sinks
-from tidemark.sources.files import table
+from tidemark.sources.tables import SCHEMAS, table
 from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream
 from tidemark.workload import base
 from tidemark.workload.registry import register
 
-TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
-          "pages benchmark labels conversations").split()
 
 
 # -- scans -----------------------------------------------------------------------
 @register("scan_binary_files", "SELECT filename, 1 AS files FROM (VALUES "
-          + ", ".join(f"('{t}.parquet')" for t in TABLES) + ") AS listed(filename)")
+          + ", ".join(f"('{t}.parquet')" for t in SCHEMAS) + ") AS listed(filename)")
 def scan_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists raw files; no column asks for content, so no bytes are read."""
     return (files.binary_files(spark, sf_dir, "*.parquet")

@@ -98,7 +98,7 @@ ORDER BY SUM(weighted_risk) DESC, category LIMIT 10""", *_CVES))
 def serving_top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The category column is the first of the candidates with 2 to 25 values."""
     served = _served_cves(spark, sf_dir)
-    category = serving.category_column(served, ["cve_id", "vulnerability_category", "severity"])
+    category = serving.category_column(served, ["vulnerability_category", "severity"])
     top = serving.top_categories(served, category, "weighted_risk")
     return portable(top.withColumnRenamed(category, "category"))
 
