@@ -26,7 +26,7 @@ def _plain(value):
     if isinstance(value, (int, decimal.Decimal)):
         return float(value)
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.12g}")
+        return None if math.isnan(value) else value
     if isinstance(value, (datetime.date, datetime.datetime)):
         raise TypeError("compared output must not hold native dates")
     return value

@@ -319,13 +319,18 @@ fact AS (
   LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
+# Ratios divide whole ten-thousandths, as the view does, so both engines round alike.
+def _units(column: str) -> str:
+    return f"CAST(SUM(CAST(CAST({column} AS DECIMAL(18,4)) * 10000 AS BIGINT)) AS DOUBLE)"
+
+
 _SUMS = {
     "transaction_count": "COUNT(*)", "order_count": "COUNT(DISTINCT l_orderkey)",
     "units_sold": "CAST(SUM(units) AS BIGINT)", "gross_sales": "CAST(SUM(gross_sales) AS DOUBLE)",
     "net_sales": "CAST(SUM(net_sales) AS DOUBLE)", "gross_margin": "CAST(SUM(gross_margin) AS DOUBLE)",
-    "gross_margin_percent": "CAST(SUM(gross_margin) AS DOUBLE) / NULLIF(CAST(SUM(net_sales) AS DOUBLE), 0)",
+    "gross_margin_percent": _units("gross_margin") + " / NULLIF(" + _units("net_sales") + ", 0)",
     "discount_amount": "CAST(SUM(discount_amount) AS DOUBLE)",
-    "discount_rate": "CAST(SUM(discount_amount) AS DOUBLE) / NULLIF(CAST(SUM(gross_sales) AS DOUBLE), 0)",
+    "discount_rate": _units("discount_amount") + " / NULLIF(" + _units("gross_sales") + ", 0)",
 }
 
 
@@ -383,12 +388,12 @@ _CONTRACT_MEASURES = ["Transaction Count", "Order Count", "Total Units", "Gross
 
 
 @register("metric_contracts_all", base.with_ctes(
-    """SELECT contract_id, contract_customer_name AS customer, contract_currency AS currency,
+    f"""SELECT contract_id, contract_customer_name AS customer, contract_currency AS currency,
   CAST(SUM(transaction_count) AS BIGINT) AS transaction_count,
   CAST(SUM(order_count) AS BIGINT) AS order_count, CAST(SUM(total_units) AS BIGINT) AS total_units,
   CAST(SUM(gross_sales) AS DOUBLE) AS gross_sales, CAST(SUM(net_sales) AS DOUBLE) AS net_sales,
   CAST(SUM(gross_margin) AS DOUBLE) AS gross_margin,
-  CAST(SUM(gross_margin) AS DOUBLE) / NULLIF(CAST(SUM(net_sales) AS DOUBLE), 0) AS gross_margin_percent
+  {_units('gross_margin')} / NULLIF({_units('net_sales')}, 0) AS gross_margin_percent
 FROM contract_mart GROUP BY contract_id, contract_customer_name, contract_currency""",
     base.SALES, base.AGREEMENTS, base.CONTRACT_MART))
 def metric_contracts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
