@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.columns import EXACT, col, exact_sum
 
@@ -29,10 +29,14 @@ def identity_diff(expected: DataFrame, observed: DataFrame, key: str,
 
 
 def diff_examples(diff: DataFrame, examples: int = 20) -> DataFrame:
-    """The first sorted keys of each side: a top-k per side, for reports."""
-    missing = diff.where("side = 'missing'").orderBy("entity_key").limit(examples)
-    unexpected = diff.where("side = 'unexpected'").orderBy("entity_key").limit(examples)
-    return missing.unionByName(unexpected)
+    """The first sorted keys of each side: a top-k per side, for reports.
+
+    Spark limits the ranked rows inside every task before it shuffles them, so
+    no task receives more than ``examples`` rows per side and task.
+    """
+    by_side = Window.partitionBy("side").orderBy("entity_key")
+    return (diff.withColumn("__rank", F.row_number().over(by_side))
+            .where(F.col("__rank") <= examples).drop("__rank"))
 
 
 def association_mismatches(source: DataFrame, detail: DataFrame, source_key: str,

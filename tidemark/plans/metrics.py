@@ -21,6 +21,26 @@ SALES_JOINS = (
     Join("region", "n_regionkey", "r_regionkey", after="nation", bounded=True),
 )
 
+
+def _sales_measures(order: str):
+    return (
+        count("Transaction Count"),
+        distinct("Order Count", order),
+        total("Units Sold", "units"),
+        total("Gross Sales", "gross_sales"),
+        total("Net Sales", "net_sales"),
+        total("Gross Margin", "gross_margin"),
+        ratio("Gross Margin Percent", "Gross Margin", "Net Sales"),
+    )
+
+
+_DISCOUNT_MEASURES = (
+    total("Gross Sales", "gross_sales"),
+    total("Discount Amount", "discount_amount"),
+    total("Net Sales", "net_sales"),
+    ratio("Discount Rate", "Discount Amount", "Gross Sales"),
+)
+
 SALES = MetricView(
     name="finance_sales_metrics", source="sales_lines",
     comment="Sales revenue and margin metrics",
@@ -31,15 +51,7 @@ SALES = MetricView(
         Dim("Sales Region", "r_name", "region"),
         Dim("Customer Type", "c_mktsegment", "customer"),
     ),
-    measures=(
-        count("Transaction Count"),
-        distinct("Order Count", "l_orderkey"),
-        total("Units Sold", "units"),
-        total("Gross Sales", "gross_sales"),
-        total("Net Sales", "net_sales"),
-        total("Gross Margin", "gross_margin"),
-        ratio("Gross Margin Percent", "Gross Margin", "Net Sales"),
-    ))
+    measures=_sales_measures("l_orderkey"))
 
 CONTRACTS = MetricView(
     name="finance_contract_metrics", source="contract_performance",
@@ -68,12 +80,27 @@ DISCOUNTS = MetricView(
         Dim("Sales Channel", "o_orderpriority", "orders"),
         Dim("Customer Type", "c_mktsegment", "customer"),
     ),
-    measures=(
-        total("Gross Sales", "gross_sales"),
-        total("Discount Amount", "discount_amount"),
-        total("Net Sales", "net_sales"),
-        ratio("Discount Rate", "Discount Amount", "Gross Sales"),
-    ))
+    measures=_DISCOUNT_MEASURES)
+
+# The same two views over a detail table that has the dimensions as columns.
+GOLD_SALES = MetricView(
+    name="finance_sales_metrics", source="gold_sales", comment=SALES.comment,
+    dimensions=(
+        Dim("Sale Date", "sale_date"),
+        Dim("Product Family", "product_family"),
+        Dim("Sales Region", "sales_region"),
+        Dim("Customer Type", "customer_type"),
+    ),
+    measures=_sales_measures("order_id"))
+
+GOLD_DISCOUNTS = MetricView(
+    name="finance_discount_metrics", source="gold_sales", comment=DISCOUNTS.comment,
+    dimensions=(
+        Dim("Product Family", "product_family"),
+        Dim("Sales Channel", "sales_channel"),
+        Dim("Customer Type", "customer_type"),
+    ),
+    measures=_DISCOUNT_MEASURES)
 
 FINDINGS = MetricView(
     name="security_findings_metrics", source="findings",

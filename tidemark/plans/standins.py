@@ -190,4 +190,4 @@ def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit("/documents/"), F.col("lang"), F.lit("/"), name).alias("path"),
         name.alias("filename"), F.col("lang").alias("source_class"),
-        F.col("text").alias("parsed_text"))
+        F.col("text").alias("parsed_text"), "n_chars")

@@ -35,11 +35,7 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(_nullable(df)).parquet(path)
-
-
-def _nullable(df: DataFrame):
-    return df.sparkSession.createDataFrame([], df.schema).schema
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:

@@ -41,8 +41,7 @@ _MANIFEST = "file_path string, document_id bigint, expected_class string, n_char
 def scan_csv_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document manifest written as CSV and read back with a declared schema."""
     path = shared_dir(spark, "manifest-csv")
-    docs = table(spark, sf_dir, "documents")
-    standins.document_rows(spark, sf_dir).join(docs.select("doc_id", "n_chars"), "doc_id").select(
+    standins.document_rows(spark, sf_dir).select(
         F.col("path").alias("file_path"), F.col("doc_id").alias("document_id"),
         F.col("source_class").alias("expected_class"), "n_chars",
     ).write.option("header", "true").csv(path)
@@ -68,7 +67,9 @@ def roundtrip_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(14,2)"))
     sinks.overwrite_table(orders.select("o_orderkey"), name, f"{path}/v1")
     sinks.overwrite_table(wide, name, f"{path}/v2")
-    written = sinks.overwrite_table(wide, name, f"{path}/v3")
+    sinks.overwrite_table(wide, name, f"{path}/v3")
+    spark.sql(f"DROP TABLE {name}")  # the files stay; the catalog is left as it was
+    written = files.snapshot(spark, f"{path}/v3")
     return portable(written.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("o_totalprice").alias("total_price")))
 
