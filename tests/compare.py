@@ -38,15 +38,21 @@ def _rows(names, rows):
     return sorted(plain, key=repr)
 
 
+TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def compare(spark, connection, name: str, sf_dir: str) -> str | None:
-    """None when query and oracle agree; otherwise what differs."""
+    """None when query and oracle agree in names, types and rows; otherwise what differs."""
     df = QUERIES[name](spark, sf_dir)
+    described = connection.execute(ORACLES[name]).description
+    ours = {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
+    theirs = {d[0]: str(d[1]) for d in described}
+    if ours != theirs:
+        return f"columns {ours} != {theirs}"
     ours = _rows(df.columns, [tuple(r) for r in df.collect()])
     cursor = connection.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     theirs = _rows(names, cursor.fetchall())
-    if sorted(df.columns) != sorted(names):
-        return f"columns {sorted(df.columns)} != {sorted(names)}"
     if not ours:
         return "no rows"
     if len(ours) != len(theirs):

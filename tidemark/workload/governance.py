@@ -63,7 +63,7 @@ def _profile_sql() -> str:
             size = (f"CAST(SUM(length({column})) AS DOUBLE) / COUNT({column})"
                     if data_type == "string" else "CAST(NULL AS DOUBLE)")
             rows.append(
-                f"SELECT '{name}' AS table_name, '{column}' AS column_name, {i} AS ordinal, "
+                f"SELECT '{name}' AS table_name, '{column}' AS column_name, CAST({i} AS BIGINT) AS ordinal, "
                 f"'{data_type}' AS data_type, COUNT(*) AS row_count, "
                 f"COUNT(*) FILTER (WHERE {column} IS NULL) AS null_count, "
                 f"CAST(MIN({column}) AS VARCHAR) AS min_value, "
@@ -117,8 +117,9 @@ def data_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("metadata_coverage", base.with_ctes(
-    """SELECT table_name, COUNT(*) AS column_count, 0 AS blank_descriptions, 0 AS blank_pi_classes,
-  COUNT(pi_class) AS pi_columns, 0 AS blank_domains, COUNT(pi_class) >= 1 AS passed
+    """SELECT table_name, COUNT(*) AS column_count, CAST(0 AS BIGINT) AS blank_descriptions,
+  CAST(0 AS BIGINT) AS blank_pi_classes,
+  COUNT(pi_class) AS pi_columns, CAST(0 AS BIGINT) AS blank_domains, COUNT(pi_class) >= 1 AS passed
 FROM dictionary GROUP BY table_name""", _DICTIONARY))
 def metadata_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.metadata_coverage(_dictionary(spark, sf_dir))

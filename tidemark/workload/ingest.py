@@ -18,7 +18,7 @@ from tidemark.workload.registry import register
 
 
 # -- scans -----------------------------------------------------------------------
-@register("scan_binary_files", "SELECT filename, 1 AS files FROM (VALUES "
+@register("scan_binary_files", "SELECT filename, CAST(1 AS BIGINT) AS files FROM (VALUES "
           + ", ".join(f"('{t}.parquet')" for t in SCHEMAS) + ") AS listed(filename)")
 def scan_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists raw files; no column asks for content, so no bytes are read."""
@@ -74,7 +74,7 @@ def roundtrip_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("order_count"), F.sum("o_totalprice").alias("total_price")))
 
 
-@register("idempotent_load", """SELECT 1 AS step, 'load' AS action, 0 AS rows_before, n AS rows_after
+@register("idempotent_load", """SELECT CAST(1 AS BIGINT) AS step, 'load' AS action, 0 AS rows_before, n AS rows_after
 FROM (SELECT COUNT(*) AS n FROM nation) a
 UNION ALL SELECT 2, 'skip', n, n FROM (SELECT COUNT(*) AS n FROM nation) a
 UNION ALL SELECT 3, 'reload', a.n, b.n
@@ -111,7 +111,8 @@ def cdc_synthesize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(log.select("o_orderkey", "o_custkey", "o_orderstatus", *files.CHANGE_COLUMNS))
 
 
-@register("cdc_roundtrip", "SELECT 0 AS only_left, 0 AS only_right, COUNT(*) AS rows_compared FROM orders")
+@register("cdc_roundtrip", """SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right,
+  COUNT(*) AS rows_compared FROM orders""")
 def cdc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot -> log -> current state gives the snapshot back."""
     orders = table(spark, sf_dir, "orders")

@@ -48,7 +48,7 @@ def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PARITY_SQL = """SELECT COUNT(*) AS source_rows, COUNT(*) AS served_rows,
-  COUNT(*) - COUNT(DISTINCT contract_id) AS bad_keys, 0 AS key_differences, COUNT(*) > 0 AS passed
+  COUNT(*) - COUNT(DISTINCT contract_id) AS bad_keys, CAST(0 AS BIGINT) AS key_differences, COUNT(*) > 0 AS passed
 FROM contract_mart"""
 
 
@@ -85,7 +85,7 @@ def serving_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("serving_kpis", base.with_ctes(
-    """SELECT COUNT(*) AS row_count, 22 AS column_count, 'cvss_score' AS metric,
+    """SELECT COUNT(*) AS row_count, CAST(22 AS BIGINT) AS column_count, 'cvss_score' AS metric,
   CAST(SUM(cvss_score) AS DOUBLE) / COUNT(cvss_score) AS metric_mean FROM cve_mart""", *_CVES))
 def serving_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.kpis(_served_cves(spark, sf_dir))
