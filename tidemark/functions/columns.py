@@ -35,12 +35,15 @@ def count_where(condition: Column) -> Column:
 # object per group. A decimal of up to 15 digits is a whole number of its smallest
 # units that also fits a double, so it can be summed as two bigints: the units above
 # and below 2**20. The sums stay exact and cannot overflow before 8.7e12 rows.
+# The scale is bounded too, so that putting the limbs together fits 38 digits.
 _LIMB_BITS = 20
 _MAX_DIGITS = 15
+_MAX_SCALE = 8
 
 
 def narrow_decimal(data_type: T.DataType) -> bool:
-    return isinstance(data_type, T.DecimalType) and data_type.precision <= _MAX_DIGITS
+    return (isinstance(data_type, T.DecimalType) and data_type.precision <= _MAX_DIGITS
+            and data_type.scale <= _MAX_SCALE)
 
 
 def limbs(value: Column, data_type: T.DecimalType) -> tuple[Column, Column]:

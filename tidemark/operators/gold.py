@@ -75,7 +75,9 @@ class Mart:
         stay in a hash aggregation; one text among them would turn it into a sort
         of all rows. Attributes are first reduced to their distinct values, and
         their first non-null one is taken by ``max``, which does not depend on
-        row order. Both sides end up partitioned by the key that joins them.
+        row order. Both sides end up partitioned by the key that joins them. Facts
+        without a business key, which the gate rejects, keep their measures and get
+        no attributes.
         """
         key = col(self.group_key)
         measured = df.groupBy(key).agg(*[
