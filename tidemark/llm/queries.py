@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bytepair, compression, language, simhash
+from tidemark.llm import bytepair, compression, curriculum, language, sanitise, simhash
 from tidemark.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", _held_out(4, 2), "lang_pred", "score", "bits", "known")
 
 
+@query("op5_sanitise")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, with the terms that reveal it."""
+    return sanitise.spans(_table(spark, sf_dir, "documents")).drop("mark")
+
+
 @query("op6_bytepair")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and of what they decode to."""
@@ -55,6 +61,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality(_table(spark, sf_dir, "documents"))
 
 
+@query("op9_curriculum")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents, in training order."""
+    return curriculum.mixture(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "size", "source_size", "target", "times", "taken", "position",
+        "positions")
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""

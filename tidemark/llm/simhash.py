@@ -285,10 +285,11 @@ def one_of_each(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     their text, the smallest stays; of equal rows one.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), _mark(), whole)
+    # Hashes are never null, so the join and the last step share one shuffle.
+    own = F.xxhash64(F.col("doc_id").cast("bigint")).alias("own")
+    rows = docs.select(own, _mark(), whole)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
     chosen = classes(docs, limit).groupBy("root").agg(F.min(order).alias("first")).select(
-        F.col("first.doc_id").alias("head"), F.col("first.mark").alias("head_mark"))
-    kept = rows.join(chosen, rows["id"].eqNullSafe(chosen["head"])
-                     & (rows["mark"] == chosen["head_mark"]), "left_semi")
-    return kept.dropDuplicates(["id", "mark"]).select("whole.*")
+        F.xxhash64("first.doc_id").alias("own"), F.col("first.mark").alias("mark"))
+    kept = rows.join(chosen, ["own", "mark"], "left_semi")
+    return kept.groupBy("own", "mark").agg(F.first("whole").alias("whole")).select("whole.*")
