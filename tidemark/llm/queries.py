@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bytepair, compression, curriculum, language, sanitise, simhash
+from tidemark.llm import (
+    bytepair, compression, curriculum, language, minhash, preferences, sanitise, simhash,
+    toxicity, warc,
+)
 from tidemark.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +34,21 @@ def _held_out(divisor: int, rest: int):
     return F.coalesce(remainder(divisor) == rest, F.lit(False)).alias("held_out")
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    labels = toxicity.learnable(_table(spark, sf_dir, "labels"))
+    model = toxicity.train(toxicity.sample(docs, labels))
+    return toxicity.score(docs, model).select("doc_id", _held_out(5, 0), "score", "predicted")
+
+
+@query("op2_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text with an edited last third."""
+    return minhash.neighbours(_table(spark, sf_dir, "documents"))
+
+
 @query("op3_language")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
@@ -40,6 +58,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", _held_out(4, 2), "lang_pred", "score", "bits", "known")
 
 
+@query("op4_preferences", preferences.ORACLE)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and completion segments of conversations and their changed last answers."""
+    return preferences.format_preferences(
+        *preferences.answers_exchanged(_table(spark, sf_dir, "conversations")))
+
+
 @query("op5_sanitise")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, with the terms that reveal it."""
@@ -61,6 +86,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality(_table(spark, sf_dir, "documents"))
 
 
+@query("op8_warc", warc.ORACLE)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the bundles it was written to."""
+    return warc.archive(_table(spark, sf_dir, "pages"))
+
+
 @query("op9_curriculum")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents, in training order."""
