@@ -139,20 +139,22 @@ class LanguageModel:
             steps = suffix_automaton(read.tolist())
             self.cost.append(np.log2(max(2, len(read))))
             table = np.empty((len(steps), self.width), np.int32)
-            # Where no transition goes on, a phrase ends and the next begins at the root.
-            restart = np.ones(self.width, np.int64)
+            # Where no transition goes on, a phrase ends and the next begins at the root; a
+            # symbol that the sample lacks is a phrase of its own. Entries: state, phrases.
+            restart = np.full(self.width, 2, np.int64)
             for s, to in steps[0].items():
-                restart[s] = to * 2 + 1
+                restart[s] = to * 4 + 1
             table[:] = restart
+            table[0] = 1
             for state, to in enumerate(steps):
                 for s, into in to.items():
-                    table[state, s] = into * 2
+                    table[state, s] = into * 4
             tables.append(table)
             held.append([self._squeeze(p) for p in unseen])
         offsets = word_starts(np.array([len(t) for t in tables]))
         self.roots = offsets.astype(np.int32)
         self.table = np.concatenate(
-            [t + np.int32(2 * o) for t, o in zip(tables, offsets)]).ravel()
+            [t + np.int32(4 * o) for t, o in zip(tables, offsets)]).ravel()
         self.cost = np.array(self.cost)
         for i, texts in enumerate(held):
             bits = self._bits(texts)[:, i]
@@ -194,8 +196,8 @@ class LanguageModel:
         for step, n in enumerate(active):
             at = state[:, :n] * np.int32(self.width) + codes[begin[:n] + step]
             into = self.table.take(at)
-            found[:, :n] += into & 1
-            state[:, :n] = into >> 1
+            found[:, :n] += into & 3
+            state[:, :n] = into >> 2
         return found
 
     def _bits(self, texts: list[np.ndarray]) -> np.ndarray:

@@ -275,6 +275,9 @@ def sanitised(docs: DataFrame, **limits) -> DataFrame:
     joined = rows.join(listed, rows["own"].eqNullSafe(listed["id"])
                        & (rows["mark"] == listed["its"]), "left")
 
+    extra = "spans"
+    while extra in map(str.lower, docs.columns):
+        extra += "_"
     at = docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
     columns = docs.columns
@@ -283,7 +286,7 @@ def sanitised(docs: DataFrame, **limits) -> DataFrame:
         for batch in batches:
             for part in parts(batch):
                 rows = pa.Table.from_batches([part])
-                marks = rows.column("__spans").to_pylist()
+                marks = rows.column(extra).to_pylist()
                 arrays = [rows.column(i).combine_chunks() for i in range(len(columns))]
                 if any(marks):
                     texts = [apply_spans(t, m) if m else t for t, m in
@@ -295,5 +298,5 @@ def sanitised(docs: DataFrame, **limits) -> DataFrame:
                             arrays[chars].type)
                     arrays[at] = pa.array(texts, arrays[at].type)
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
-    flat = joined.select("whole.*", F.col("spans").alias("__spans"))
+    flat = joined.select("whole.*", F.col("spans").alias(extra))
     return map_batches(flat, run, docs.schema)
