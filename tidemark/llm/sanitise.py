@@ -19,8 +19,8 @@ any length are searched whole.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,8 @@ GENERALISE = 0.90
 LEAST_LETTERS = 3
 #: Slots of the table that says which words need counting.
 SLOTS = 1 << 20
+#: Words that a task keeps at once.
+REMEMBERED = 300_000
 REPLACED = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
             "removed": "", "generalised": "[TERM]"}
 
@@ -167,7 +169,7 @@ def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     some others.
 
     A table of a fixed number of slots says which words are counted at all; every
-    document is read.
+    document is read. A task adds its documents up before anything is shuffled.
     """
     slots = np.zeros(SLOTS, bool)
     slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).alias("slot")
@@ -177,23 +179,32 @@ def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         open_slots = np.unpackbits(marked.value).astype(bool)
         known: dict[str, bool] = {}
+        counts: Counter[str] = Counter()
         digest = xxhash.xxh64_intdigest
+
+        def counted() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                names=["word", "n"])
+            counts.clear()
+            return rows
         for batch in batches:
             for part in parts(batch):
-                found: list[str] = []
                 for text in part.column("text").to_pylist():
                     for word in set(WORDS(text.lower())):
-                        counted = known.get(word)
-                        if counted is None:
-                            if len(known) > 300_000:
+                        wanted = known.get(word)
+                        if wanted is None:
+                            if len(known) > REMEMBERED:
                                 known.clear()
-                            counted = known[word] = bool(
+                            wanted = known[word] = bool(
                                 open_slots[digest(word.encode(), 42) % SLOTS])
-                        if counted:
-                            found.append(word)
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["word"])
-    return (map_batches(texts_of(docs), run, "word string")
-            .groupBy("word").agg(F.count("*").alias("n")))
+                        if wanted:
+                            counts[word] += 1
+                if len(counts) > REMEMBERED:
+                    yield counted()
+        yield counted()
+    return (map_batches(texts_of(docs), run, "word string, n bigint")
+            .groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def revealing(found: DataFrame, docs: DataFrame, support: int = SUPPORT,
