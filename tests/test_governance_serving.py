@@ -71,7 +71,8 @@ def test_profile_is_one_scan_with_a_row_per_column(people):
 def test_sensitive_columns_by_rate(people):
     matches = profile.sensitive_matches(people, "people")
     assert {(r.column_name, r.pi_class, r.matches) for r in
-            profile.sensitive_columns(matches).collect()} == {("note", "email", 2)}
+            profile.sensitive_columns(matches).collect()} == {
+                ("note", "email", 2), ("note", "phone", 1)}
     assert profile.sensitive_columns(matches, 0.9).count() == 0
 
 
@@ -85,7 +86,7 @@ def test_dictionary_and_coverage(people):
     df = dictionary(people, domain="crm", curated=("tag",))
     rows = {r.column_name: r for r in df.collect()}
     assert (rows["note"].pi_class, rows["tag"].pi_class, rows["id"].pi_class) == (
-        "email", "personal", None)
+        "email, phone", "personal", None)
     assert rows["note"].description == "Note" and rows["id"].business_domain == "crm"
     assert tuple(profile.metadata_coverage(df).first()) == ("people", 4, 0, 0, 2, 0, True)
 

@@ -16,20 +16,11 @@ def col(name: str | Column) -> Column:
     return F.col("`" + name.replace("`", "``") + "`") if isinstance(name, str) else name
 
 
-def key_text(key: str | Column) -> Column:
-    """A key as text, so keys of different types compare alike."""
-    return col(key).cast("string")
-
-
 def is_blank(value: str | Column) -> Column:
     """NULL, empty or whitespace only."""
     return col(value).isNull() | (F.trim(col(value).cast("string")) == "")
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 # -- exact sums ------------------------------------------------------------------
 # Spark keeps the running sum of a decimal with more than 18 digits as a big-number
 # object per group. A decimal of up to 15 digits is a whole number of its smallest
@@ -80,20 +71,6 @@ def exact_avg(df: DataFrame, name: str) -> Column:
     return F.try_divide(exact_sum(df, name).cast("double"), F.count(col(name)))
 
 
-def any_value_of(value: str | Column) -> Column:
-    """The first non-null value of an attribute that depends on the group key.
-
-    ``max`` skips nulls and, unlike ``first``, gives the same answer on every
-    run and every partitioning.
-    """
-    return F.max(col(value))
-
-
-def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:
-    """``a / nullif(b, 0)`` as a double; NULL on a zero denominator."""
-    return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))
-
-
 def severity_band(score: str | Column) -> Column:
     """The severity a CVSS score must carry (NULL scores give NULL)."""
     chain = F.when(col(score).isNull(), F.lit(None).cast("string"))

@@ -19,11 +19,14 @@ HIDDEN_BLOCKS = (
 )
 BLOCK_TAG = (r"(?i)</?(title|head|body|html|article|section|header|footer|nav|main|aside|div|p|br|hr"
              r"|h[1-6]|ul|ol|li|dl|dt|dd|table|tr|td|th|pre|blockquote)([ \t\r\n][^>]*)?/?>")
-ANY_TAG = r"<[^>]*>"
+# A tag begins with a letter, a slash or an exclamation mark; other "<" are text.
+ANY_TAG = r"<[A-Za-z/!][^>]*>"
 BLANKS = r"[ \t\r\f]+"
 # Decoded in this order; the ampersand comes last so nothing is decoded twice.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-            ("&#39;", "'"), ("&amp;", "&"))
+ENTITIES = (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&#60;", "<"), ("&gt;", ">"),
+            ("&#62;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"),
+            ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&hellip;", "\u2026"),
+            ("&copy;", "\u00a9"), ("&euro;", "\u20ac"), ("&amp;", "&"), ("&#38;", "&"))
 
 
 def html_elements(html: str | Column) -> Column:
@@ -58,7 +61,8 @@ def first_match(text: str | Column, pattern: str, group: int = 1) -> Column:
 def to_number(raw: Column) -> Column:
     """``$1,234.50`` -> 1234.5 and ``18%`` -> 0.18; NULL when not a number."""
     digits = F.regexp_replace(raw, r"[$,% \t]|USD", "")
-    number = digits.try_cast("double")
+    # Only digits, a sign, a point and an exponent: the cast alone also takes words.
+    number = F.when(digits.rlike(r"^[-+]?[0-9.]+([eE][-+]?[0-9]+)?$"), digits.try_cast("double"))
     return F.when(raw.endswith("%"), number / F.lit(100.0)).otherwise(number)
 
 

@@ -14,6 +14,7 @@ from tidemark.sources.files import (
 
 DELETE = "delete"
 _IMAGE = "__image"
+_TIE = "__tie"
 
 
 def latest_images(log: DataFrame, keys: str | Sequence[str],
@@ -21,17 +22,14 @@ def latest_images(log: DataFrame, keys: str | Sequence[str],
     """The newest row of every key, deletes included.
 
     ``max_by`` combines on the map side, so a key that holds a third of the log
-    sends one row per input split and no task ever sorts a whole group. Rows
-    tied on ``_sort_by`` are ordered by ``tie_break`` or, without one, by a hash
-    of the row image, so the winner never depends on arrival order.
+    sends one row per input split. Images are no fixed-width buffers, so this is a
+    sort aggregation: a task sorts its split by key. Rows tied on ``_sort_by`` are
+    ordered by ``tie_break`` or, without one, by a hash of the whole row image, so
+    the winner depends neither on arrival order nor on later projections.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     images = [c for c in log.columns if c not in names]
-    if tie_break:
-        last = [col(c) for c in tie_break]
-    else:
-        last = [F.xxhash64(*[col(f.name) for f in log.schema.fields
-                             if f.name in images and _hashable(f.dataType)])]
+    last = [col(c) for c in tie_break] if tie_break else [_image_hash(log, names)]
     order = F.struct(col(CHANGE_ORDER), *last)
     winners = log.groupBy(*[col(k) for k in names]).agg(
         F.max_by(F.struct(*[col(c) for c in images]), order).alias(_IMAGE))
@@ -39,6 +37,11 @@ def latest_images(log: DataFrame, keys: str | Sequence[str],
         col(c) if c in names else F.col(_IMAGE)[c].alias(c) for c in log.columns])
 
 
+def _image_hash(log: DataFrame, keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[col(f.name) for f in log.schema.fields
+                        if f.name not in keys and _hashable(f.dataType)])
+
+
 def _hashable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
@@ -56,6 +59,8 @@ def current_state(log: DataFrame, keys: str | Sequence[str],
         c for c in log.columns if c not in CHANGE_COLUMNS]
     names = [keys] if isinstance(keys, str) else list(keys)
     change_log(log)
+    if not tie_break:  # the hash of the image as it is, before columns are dropped
+        log, tie_break = log.withColumn(_TIE, _image_hash(log, names)), (_TIE,)
     needed = dict.fromkeys([*names, *wanted, *tie_break, CHANGE_TYPE, CHANGE_ORDER])
     narrow = select_contract(log, list(needed), "change log")
     return select_contract(
@@ -82,7 +87,7 @@ def synthesize_log(snapshot: DataFrame, sequence: Column,
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: how many rows (with multiplicity) only one side has.
+    """One row: rows of the left side, and how many (with multiplicity) only one side has.
 
     Both sides are tagged and grouped once, where two ``exceptAll`` would
     shuffle everything twice.
@@ -90,8 +95,10 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     columns = left.columns
     tagged = (left.select(*[col(c) for c in columns], F.lit(1).alias("__n"))
               .unionByName(right.select(*[col(c) for c in columns], F.lit(-1).alias("__n"))))
-    balance = tagged.groupBy(*[col(c) for c in columns]).agg(F.sum("__n").alias("__n"))
+    balance = tagged.groupBy(*[col(c) for c in columns]).agg(
+        F.sum("__n").alias("__n"), F.count_if(F.col("__n") > 0).alias("__left"))
     return balance.agg(
+        F.coalesce(F.sum("__left"), F.lit(0)).alias("rows_compared"),
         F.coalesce(F.sum(F.greatest(F.col("__n"), F.lit(0))), F.lit(0)).alias("only_left"),
         F.coalesce(F.sum(F.greatest(-F.col("__n"), F.lit(0))), F.lit(0)).alias("only_right"),
     )

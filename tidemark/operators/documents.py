@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import col, is_blank
+from tidemark.sources.sinks import read_if_present
 from tidemark.functions.text import (
     html_elements, term_hits, to_iso_date, to_number, tokens,
 )
@@ -117,7 +118,9 @@ class FieldRule:
     ``kind``: string, number, integer, date or boolean; ``list`` gives all
     matches; ``records`` splits every match at ``|`` into typed ``parts``.
     ``needs`` is text that every match contains; documents without it are not
-    searched, which spares them the far slower pattern.
+    searched, which spares them the far slower pattern. A rule with a ``label`` is
+    looked up among the text's ``label: value`` lines instead, which are split once
+    for all fields.
     """
 
     name: str
@@ -126,13 +129,61 @@ class FieldRule:
     required: bool = False
     parts: tuple[tuple[str, str], ...] = ()
     needs: str = ""
+    label: str = ""
 
 
 def labelled(name: str, kind: str = "string", required: bool = False,
              parts: tuple[tuple[str, str], ...] = ()) -> FieldRule:
     """A field on a line of its own: ``Invoice Number: INV-1`` for invoice_number."""
     label = name.replace("_", " ")
-    return FieldRule(name, rf"(?im)^[ \t]*{label}[ \t]*:[ \t]*([^\r\n]+)", kind, required, parts)
+    return FieldRule(name, rf"(?im)^[ \t]*{label}[ \t]*:[ \t]*([^\r\n]+)", kind, required, parts,
+                     label=label)
+
+
+def label_lines(text: str | Column) -> Column:
+    """The text's ``label: value`` lines as (label in lower case, value), in order."""
+    lines = F.filter(F.split(col(text), r"[\r\n]+"), lambda line: line.contains(":"))
+    at = lambda line: F.instr(line, ":")
+    pairs = F.transform(lines, lambda line: F.struct(
+        F.lower(F.regexp_replace(F.substr(line, F.lit(1), at(line) - 1), r"^[ \t]+|[ \t]+$", ""))
+        .alias("label"),
+        F.trim(F.regexp_replace(F.substr(line, at(line) + 1), r"^[ \t]+", "")).alias("value")))
+    return F.filter(pairs, lambda pair: pair["value"] != "")
+
+
+def classify_by_fields(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
+                       labels: Sequence[str], text: str = "parsed_text",
+                       output: str = "doc_class", fallback: str | None = "other") -> DataFrame:
+    """Adds the label whose contract's field names the document has most of, by share.
+
+    ``labels`` are those that occur in the data; one without a contract cannot win.
+    Ties go to the label that sorts first, and a document without any field to
+    ``fallback`` if that is a label, else it has none. Blank text gets NULL.
+    """
+    known = sorted(set(labels) & set(contracts))
+    found = F.array_distinct(F.transform("__lines", lambda pair: pair["label"]))
+    candidates = [F.struct(
+        (F.size(F.array_intersect(found, F.array(*[F.lit(r.label) for r in contracts[name]])))
+         / F.lit(float(len(contracts[name])))).alias("score"),
+        F.lit(-i).alias("rank"), F.lit(name).alias("label")) for i, name in enumerate(known)]
+    best = F.array_max(F.array(*candidates)) if candidates else F.lit(None).cast(
+        "struct<score:double,rank:int,label:string>")
+    other = F.lit(fallback if fallback in known else None).cast("string")
+    return docs.withColumn("__lines", label_lines(text)).withColumn("__best", best).withColumn(
+        output, F.when(~is_blank(text), F.when(F.col("__best.score") > 0, F.col("__best.label"))
+                       .otherwise(other))).drop("__lines", "__best")
+
+
+def parse_text(files: DataFrame, content: str = "content", parsed: str = "parsed") -> DataFrame:
+    """Adds ``parsed`` for plain-text files: their non-blank lines, or why there are none."""
+    lines = F.filter(F.split(F.decode(col(content), "UTF-8"), r"\r?\n"),
+                     lambda line: F.trim(line) != "")
+    found = files.withColumn("__lines", F.coalesce(lines, F.array().cast("array<string>")))
+    status = (F.when(col(content).isNull() | (F.octet_length(col(content)) == 0), "no content")
+              .when(F.size("__lines") == 0, "no text"))
+    return found.withColumn(parsed, F.struct(
+        F.struct(F.transform("__lines", lambda e: F.struct(e.alias("content"))).alias("elements"))
+        .alias("document"), status.alias("error_status"))).drop("__lines")
 
 
 def _typed(raw: Column, kind: str) -> Column:
@@ -161,6 +212,18 @@ def _search(text: Column, rule: FieldRule) -> Column:
     return F.trim(F.regexp_extract(text, rule.pattern, 1))
 
 
+def _search_key(rule: FieldRule) -> tuple[str, bool, str]:
+    """Rules that are alike in these find the same."""
+    return rule.pattern, rule.kind in ("list", "records"), rule.needs
+
+
+def _labelled(rule: FieldRule) -> Column:
+    """The values on the lines with the rule's label, or the first of them."""
+    values = F.transform(F.filter("__lines", lambda pair: pair["label"] == rule.label),
+                         lambda pair: pair["value"])
+    return values if rule.kind in ("list", "records") else F.get(values, F.lit(0))
+
+
 def _found(raw: Column, rule: FieldRule) -> Column:
     """A search result; NULL instead of empty."""
     empty = F.size(raw) == 0 if rule.kind in ("list", "records") else raw == ""
@@ -199,16 +262,18 @@ def extract(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
     A pattern that several classes share is one expression, and it is searched
     only in documents of those classes.
     """
-    users: dict[tuple[str, bool], list[str]] = {}
-    sample: dict[tuple[str, bool], FieldRule] = {}
+    users: dict[tuple[str, bool, str], list[str]] = {}
+    sample: dict[tuple[str, bool, str], FieldRule] = {}
     for label, rules in contracts.items():
         for rule in rules:
-            key = (rule.pattern, rule.kind in ("list", "records"))
-            users.setdefault(key, []).append(label)
-            sample[key] = rule
+            if not rule.label:
+                users.setdefault(_search_key(rule), []).append(label)
+                sample[_search_key(rule)] = rule
+    lines = [label_lines(text).alias("__lines")] if any(
+        r.label for rules in contracts.values() for r in rules) else []
     names = {key: f"__raw{i}" for i, key in enumerate(users)}
     found = docs.select(
-        *[col(k) for k in keep], col(doc_class).alias("doc_class"),
+        *[col(k) for k in keep], col(doc_class).alias("doc_class"), *lines,
         *[F.when(col(doc_class).isin(*users[key]) & col(text).contains(sample[key].needs),
                  _search(col(text), sample[key])).alias(name)
           for key, name in names.items()])
@@ -218,7 +283,7 @@ def extract(docs: DataFrame, contracts: Mapping[str, Sequence[FieldRule]],
         mine = F.col("doc_class") == label
         fields, wrong = [], []
         for rule in rules:
-            raw = _found(F.col(names[rule.pattern, rule.kind in ("list", "records")]), rule)
+            raw = _found(_labelled(rule) if rule.label else F.col(names[_search_key(rule)]), rule)
             value = _value(raw, rule)
             fields.append(value.alias(rule.name))
             problem = _problem(raw, value, rule)
@@ -250,6 +315,20 @@ def route_counts(docs: DataFrame, labels: DataFrame, doc_class: str = "doc_class
         "label", F.coalesce("routed_rows", F.lit(0)).alias("routed_rows"))
 
 
-def write_class_tables(extracted: DataFrame, path: str) -> None:
-    """All class tables in one write: one folder per class below ``path``."""
+def write_class_tables(extracted: DataFrame, path: str, labels: Sequence[str] = ()) -> None:
+    """All class tables in one write: one folder per class below ``path``.
+
+    Each of ``labels`` gets its table, an empty one if no document is of the class.
+    """
     extracted.write.mode("overwrite").partitionBy("doc_class").parquet(path)
+    spark = extracted.sparkSession
+    schema = extracted.drop("doc_class").schema
+    for label in labels:
+        folder = f"{path}/doc_class={label}"
+        if read_if_present(spark, folder) is None:
+            spark.createDataFrame([], schema).write.parquet(folder)
+
+
+def class_tables_written(spark, path: str, labels: Sequence[str]) -> int:
+    """How many of the labels have a table below ``path``."""
+    return sum(read_if_present(spark, f"{path}/doc_class={label}") is not None for label in labels)

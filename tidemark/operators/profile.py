@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import col, describe_identifier, is_blank
 from tidemark.functions.detectors import DETECTORS
@@ -58,29 +58,22 @@ def sensitive_matches(df: DataFrame, table: str, detectors: Mapping[str, tuple[s
 
 
 def sensitive_columns(matches: DataFrame, threshold: float = 0.0) -> DataFrame:
-    """Columns with a detector whose match rate exceeds ``threshold``.
-
-    ``pi_class`` names the detector with the most matches (ties: first by name).
-    """
-    hits = matches.where((F.col("matches") > 0)
-                         & (F.col("matches") > F.lit(threshold) * F.col("values_checked")))
-    best = F.max_by(F.col("detector"), F.struct(F.col("matches"), _reverse("detector")))
-    return hits.groupBy("table_name", "column_name").agg(
-        best.alias("pi_class"), F.max("matches").alias("matches"),
-        F.max("values_checked").alias("values_checked"))
-
-
-def _reverse(name: str) -> Column:
-    """Sorts names backwards inside a larger-is-better comparison."""
-    return F.translate(F.col(name), "abcdefghijklmnopqrstuvwxyz", "zyxwvutsrqponmlkjihgfedcba")
+    """A row per column and detector (``pi_class``) whose match rate exceeds ``threshold``."""
+    return matches.where((F.col("matches") > 0)
+                         & (F.col("matches") > F.lit(threshold) * F.col("values_checked"))).select(
+        "table_name", "column_name", F.col("detector").alias("pi_class"), "matches",
+        "values_checked")
 
 
 def data_dictionary(profile: DataFrame, sensitive: DataFrame, domain: str | None,
                     curated: Sequence[str] = ()) -> DataFrame:
-    """A reviewable row per (table, column): type, description, class and domain.
+    """A reviewable row per (table, column): type, description, classes and domain.
 
-    ``curated`` names columns to treat as personal even where no detector fires.
+    ``pi_class`` lists all classes found, in the order of their names. ``curated``
+    names columns to treat as personal even where no detector fires.
     """
+    sensitive = sensitive.groupBy("table_name", "column_name").agg(
+        F.array_join(F.sort_array(F.collect_set("pi_class")), ", ").alias("pi_class"))
     detected = F.col("pi_class")
     if curated:
         detected = F.coalesce(detected, F.when(F.col("column_name").isin(*curated), "personal"))

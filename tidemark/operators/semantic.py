@@ -5,9 +5,13 @@ the dimensions and measures asked for:
 
 * only joins that a requested dimension needs are planned (they are many-to-one
   left joins, so leaving one out changes neither grain nor totals);
-* before each join the rows are aggregated to the columns still needed, which
-  collapses a hot join key on the map side and shrinks what the join shuffles;
-* composed measures are evaluated after aggregation, at the query's own grain.
+* tables that hang on a joined table are joined to it first, so that the source
+  rows meet each branch of the snowflake once;
+* when one branch is needed and nothing is counted distinct, the rows are first
+  aggregated by its key, which collapses a hot key on the map side; with more
+  branches the keys together are nearly as many as the rows;
+* composed measures are evaluated after aggregation, at the query's own grain,
+  those that others use first.
 """
 
 from __future__ import annotations
@@ -35,7 +39,9 @@ class Join:
 
     ``after`` names the join that provides ``left_key`` when it is not a source
     column. ``bounded`` says the table has a fixed number of rows (a code list),
-    so aggregating before the join gains nothing.
+    so aggregating before the join gains nothing. ``unique`` promises that
+    ``right_key`` does not repeat (``MetricView.repeated_keys`` proves it); without
+    the promise the table is reduced to one row per key, the largest.
     """
 
     name: str
@@ -43,6 +49,7 @@ class Join:
     right_key: str
     after: str | None = None
     bounded: bool = False
+    unique: bool = False
 
 
 @dataclass(frozen=True)
@@ -123,6 +130,7 @@ class MetricView:
             unknown = set(measure.uses) - measures
             if unknown:
                 raise MetricViewError(f"{self.name}: {measure.name} uses {sorted(unknown)}")
+        self._composed([m.name for m in self.measures])
 
     # -- lookups -----------------------------------------------------------
     def dimension(self, name: str) -> Dimension:
@@ -153,6 +161,23 @@ class MetricView:
             add(name)
         return list(out.values())
 
+    def _composed(self, names: Sequence[str]) -> list[Measure]:
+        """The composed measures that ``names`` need, used ones before their users."""
+        out: dict[str, Measure] = {}
+
+        def add(name: str, users: tuple[str, ...]) -> None:
+            measure = self.measure(name)
+            if name in users:
+                raise MetricViewError(f"{self.name}: {name} is composed of itself")
+            if measure.kind == "composed" and name not in out:
+                for used in measure.uses:
+                    add(used, (*users, name))
+                out[name] = measure
+
+        for name in names:
+            add(name, ())
+        return list(out.values())
+
     def _needed_joins(self, dimensions: Sequence[Dimension]) -> list[Join]:
         by_name = {j.name: j for j in self.joins}
         needed: set[str] = set()
@@ -183,27 +208,28 @@ class MetricView:
 
         rows = self._project(tables[self.source], all_dims, joins, partials)
         rows = _filter(rows, filters, [d for d in all_dims if d.join is None])
-        for position, join in enumerate(joins):
-            if not join.bounded:
-                rows = _preaggregate(rows, partials)
-            rows = self._join(rows, tables, join, joins[position + 1:], all_dims)
-            rows = _filter(rows, filters, [d for d in all_dims if d.join == join.name])
+        branches = [j for j in joins if j.after is None]
+        if (len(branches) == 1 and not branches[0].bounded
+                and not any(p.distinct_column for p in partials)):
+            rows = _preaggregate(rows, partials)
+        for join in branches:
+            right = self._branch(tables, join, joins, all_dims)
+            rows = rows.join(right, F.col(f"__key_{join.name}") == F.col(f"__on_{join.name}"),
+                             "left").drop(f"__key_{join.name}", f"__on_{join.name}")
+        rows = _filter(rows, filters, [d for d in all_dims if d.join is not None])
 
         grouped = rows.groupBy(*[col(d.name) for d in asked]).agg(
             *([c for p in partials for c in p.finals()] or [F.count(F.lit(1)).alias("__rows")]))
         resolved = grouped.select(*[col(d.name) for d in asked],
                                   *[p.value().alias(p.measure.name) for p in partials])
-        result = resolved.select(*[col(d.name) for d in asked],
-                                 *[self._value(m).alias(m) for m in measures])
+        for measure in self._composed(measures):
+            resolved = resolved.withColumn(measure.name, F.expr(measure.expr))
+        result = resolved.select(*[col(d.name) for d in asked], *[col(m) for m in measures])
         if order_by:
             result = result.orderBy(*[col(n).desc() if way == "desc" else col(n).asc()
                                       for n, way in order_by])
         return result.limit(limit) if limit is not None else result
 
-    def _value(self, name: str) -> Column:
-        measure = self.measure(name)
-        return F.expr(measure.expr) if measure.kind == "composed" else col(name)
-
     @staticmethod
     def _project(rows: DataFrame, dims: Sequence[Dimension], joins: Sequence[Join],
                  partials: Sequence[_Partial]) -> DataFrame:
@@ -217,16 +243,42 @@ class MetricView:
                           *[col(f"__key_{j.name}") for j in joins if j.after is None],
                           *[c for p in partials for c in p.inputs()])
 
-    @staticmethod
-    def _join(rows: DataFrame, tables: Mapping[str, DataFrame], join: Join,
-              later: Sequence[Join], dims: Sequence[Dimension]) -> DataFrame:
-        right = tables[join.name].select(
-            F.expr(join.right_key).alias(f"__on_{join.name}"),
+    def _branch(self, tables: Mapping[str, DataFrame], join: Join, joins: Sequence[Join],
+                dims: Sequence[Dimension]) -> DataFrame:
+        """A joined table with all that hangs on it: its key and the dimensions asked for."""
+        children = [j for j in joins if j.after == join.name]
+        on = f"__on_{join.name}"
+        rows = tables[join.name].select(
+            F.expr(join.right_key).alias(on),
             *[F.expr(d.expr).alias(d.name) for d in dims if d.join == join.name],
-            *[F.expr(j.left_key).alias(f"__key_{j.name}") for j in later if j.after == join.name])
-        joined = rows.join(
-            right, F.col(f"__key_{join.name}") == F.col(f"__on_{join.name}"), "left")
-        return joined.drop(f"__key_{join.name}", f"__on_{join.name}")
+            *[F.expr(j.left_key).alias(f"__key_{j.name}") for j in children])
+        if not join.unique:
+            rest = [c for c in rows.columns if c != on]
+            one = F.max(F.struct(*[col(c) for c in rest])).alias("__one") if rest else None
+            rows = (rows.groupBy(on).agg(one).select(on, *[
+                F.col("__one").getField(c).alias(c) for c in rest]) if rest else rows.distinct())
+        for child in children:
+            right = self._branch(tables, child, joins, dims)
+            rows = rows.join(right, F.col(f"__key_{child.name}") == F.col(f"__on_{child.name}"),
+                             "left").drop(f"__key_{child.name}", f"__on_{child.name}")
+        return rows
+
+    def repeated_keys(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """Per join: how many right keys repeat, which a ``unique`` join must not have."""
+        checks = []
+        for join in self.joins:
+            keys = tables[join.name].select(F.expr(join.right_key).alias("k")).where("k IS NOT NULL")
+            counted = keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+            checks.append(counted.agg(F.lit(join.name).alias("join_name"),
+                                      F.lit(join.unique).alias("declared_unique"),
+                                      F.count_if(F.col("n") > 1).alias("repeated_keys")))
+        schema = "join_name string, declared_unique boolean, repeated_keys bigint"
+        if not checks:
+            return next(iter(tables.values())).sparkSession.createDataFrame([], schema)
+        out = checks[0]
+        for check in checks[1:]:
+            out = out.unionByName(check)
+        return out
 
     def sanity(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """Every measure over all rows: ``(measure, value, passed)``.

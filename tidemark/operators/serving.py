@@ -31,22 +31,18 @@ def kpis(df: DataFrame) -> DataFrame:
 
 
 def category_column(df: DataFrame, candidates: Sequence[str] | None = None) -> str | None:
-    """The first non-numeric column with 2 to 25 distinct values (one small action).
+    """The first non-numeric column with 2 to 25 distinct values.
 
-    One pass keeps, per candidate column, a distinct sketch; only columns the
-    sketch calls small are then counted exactly, so no wide exact distinct runs
-    over columns with many values.
+    Each candidate in turn is reduced to its distinct values, map-side first, and
+    counted up to 26 of them: exact, and no more than that reaches the driver.
     """
     numeric = set(numeric_columns(df))
     names = [c for c in (candidates or df.columns) if c not in numeric]
-    if not names:
-        return None
-    rough = df.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in names]).first()
-    small = [c for c in names if rough[c] <= 2 * MAX_CATEGORIES]
-    if not small:
-        return None
-    exact = df.agg(*[F.count_distinct(col(c)).alias(c) for c in small]).first()
-    return next((c for c in small if MIN_CATEGORIES <= exact[c] <= MAX_CATEGORIES), None)
+    for name in names:
+        values = df.select(col(name)).where(col(name).isNotNull()).distinct()
+        if MIN_CATEGORIES <= values.limit(MAX_CATEGORIES + 1).count() <= MAX_CATEGORIES:
+            return name
+    return None
 
 
 def top_categories(df: DataFrame, category: str, metric: str, k: int = 10) -> DataFrame:

@@ -1,6 +1,7 @@
 """The three domains: keys, document attributes, marts and measure checks.
 
-One spec drives the same operators for every domain.
+One spec drives the same operators for every domain. Fixed values: the column names of
+the detail tables and marts.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.columns import severity_band
 from tidemark.operators.gold import Mart, Mean, Total, enrich, mart_from_detail, mart_from_source
 from tidemark.operators.reconcile import MeasureCheck
 
@@ -27,8 +27,6 @@ class DomainSpec:
     carry: tuple[tuple[str, str | Column], ...]
     mart: Mart
     checks: tuple[MeasureCheck, ...]
-    pii_columns: tuple[str, ...] = ()
-    txn_columns: tuple[str, ...] = ()
 
     def detail(self, facts: DataFrame, documents: DataFrame) -> DataFrame:
         return enrich(facts, documents, self.group_key, self.document_key, dict(self.carry))
@@ -87,11 +85,7 @@ def finance() -> DomainSpec:
             MeasureCheck("gross_sales"),
             MeasureCheck("net_sales"),
             MeasureCheck("gross_margin"),
-        ),
-        pii_columns=("customer_id", "customer_name", "contract_customer_name"),
-        txn_columns=("transaction_id", "order_id", "sale_date", "customer_id", "sales_channel",
-                     "contract_id", "units", "discount_pct", "gross_sales", "discount_amount",
-                     "net_sales", "cost_of_goods", "gross_margin"))
+        ))
 
 
 def security() -> DomainSpec:
@@ -111,7 +105,8 @@ def security() -> DomainSpec:
                     "advisory_published_date", "advisory_recommended_remediation"),
         fact_attributes=("vulnerability_title", "vulnerability_category"),
         measures=(
-            ("severity", severity_band(F.max("cvss_score"))),
+            # The severity of the highest score as the source reports it, not recomputed.
+            ("severity", F.max(F.struct("cvss_score", "severity"))["severity"]),
             ("cvss_score", F.max("cvss_score")),
             ("exploit_available", F.max("exploit_available")),
             ("first_scan_date", F.min("scan_date")),
@@ -131,10 +126,7 @@ def security() -> DomainSpec:
         document_key="cve_id", detail_document_key="advisory_cve_id",
         detail_document_match="advisory_document_path", carry=carry, mart=mart,
         checks=(MeasureCheck("remediation_hours"), MeasureCheck("asset_value_at_risk"),
-                MeasureCheck("weighted_risk")),
-        pii_columns=("asset_id", "asset_name", "business_unit", "owner_team"),
-        txn_columns=("finding_id", "scan_id", "scan_date", "asset_id", "asset_type",
-                     "environment", "cve_id", "severity", "cvss_score", "status"))
+                MeasureCheck("weighted_risk")))
 
 
 def itsm() -> DomainSpec:
@@ -155,11 +147,7 @@ def itsm() -> DomainSpec:
     return DomainSpec(
         name="itsm", source_key="ticket_id", group_key="incident_id",
         document_key="incident_id", detail_document_key="report_incident_id",
-        detail_document_match="incident_document_path", carry=carry, mart=mart, checks=(),
-        pii_columns=("assignment_group", "configuration_item"),
-        txn_columns=("ticket_id", "incident_id", "priority", "status", "assignment_group",
-                     "service", "configuration_item", "opened_at", "resolved_at",
-                     "resolution_hours", "sla_breached"))
+        detail_document_match="incident_document_path", carry=carry, mart=mart, checks=())
 
 
 # Builders, as column expressions need a running session.

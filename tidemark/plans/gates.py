@@ -332,21 +332,27 @@ def metrics_gate(spark: SparkSession, view: MetricView | None,
     """A metric view exists, is defined as required, and its measures evaluate sanely.
 
     ``source``, ``dimensions`` and ``measures`` are the required definition. An
-    absent view or source table fails the first stage.
+    absent view or source table fails the first stage. Keys of joins that are
+    declared unique must not repeat, as totals would grow.
     """
+    summaries = []
     if view is None or view.source not in tables:
         summary = spark.range(1).select(F.lit(None).cast("bigint").alias("measures"))
     else:
+        summaries.append(view.repeated_keys(tables).where("declared_unique").agg(
+            F.coalesce(F.sum("repeated_keys"), F.lit(0)).alias("repeated_keys")))
         errors = view.contract_errors(source, dimensions, measures)
         wrong_source = sum(e.startswith("source ") for e in errors)
         summary = view.sanity(tables).agg(
             F.count(F.lit(1)).alias("measures"), F.count_if(~F.col("passed")).alias("bad_measures"),
             F.lit(wrong_source).cast("bigint").alias("missing_source"),
             F.lit(len(errors) - wrong_source).cast("bigint").alias("missing_names"))
-    return judge([summary], ("missing_source", "missing_names", "measures", "bad_measures"), (
+    return judge([summary, *summaries], ("missing_source", "missing_names", "measures",
+                                         "bad_measures", "repeated_keys"), (
         Stage("describe", "measures IS NOT NULL", "IF(measures IS NULL, 0, 1)", "1"),
         Stage("definition", "missing_names = 0", "missing_names", "0"),
         Stage("source", "missing_source = 0", "missing_source", "0"),
+        Stage("join_keys", "repeated_keys = 0", "repeated_keys", "0"),
         Stage("sanity", "bad_measures = 0", "bad_measures", "0")))
 
 

@@ -14,11 +14,11 @@ from tidemark.operators.semantic import (
 
 # Sales lines have no dimension columns of their own: every one is a join away.
 SALES_JOINS = (
-    Join("part", "l_partkey", "p_partkey"),
-    Join("orders", "l_orderkey", "o_orderkey"),
-    Join("customer", "o_custkey", "c_custkey", after="orders"),
-    Join("nation", "c_nationkey", "n_nationkey", after="customer", bounded=True),
-    Join("region", "n_regionkey", "r_regionkey", after="nation", bounded=True),
+    Join("part", "l_partkey", "p_partkey", unique=True),
+    Join("orders", "l_orderkey", "o_orderkey", unique=True),
+    Join("customer", "o_custkey", "c_custkey", after="orders", unique=True),
+    Join("nation", "c_nationkey", "n_nationkey", after="customer", bounded=True, unique=True),
+    Join("region", "n_regionkey", "r_regionkey", after="nation", bounded=True, unique=True),
 )
 
 

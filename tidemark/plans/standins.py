@@ -1,8 +1,8 @@
 """The benchmark tables read as the domains' transactions and documents.
 
-The tables hold money as doubles that are whole cents. The sales amounts are kept
-as whole ten-thousandths of the currency unit, in which discounts are exact too,
-so sums do not depend on row order; ``in_currency`` gives currency units back.
+The tables hold money as doubles that are whole cents. The sales amounts are
+decimals of the currency unit with four places, in which discounts are exact too,
+so sums do not depend on row order.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from tidemark.sources.tables import table
 
 COST_PERCENT = 60  # cost of goods as a share of gross sales; the tables have no cost
 MONEY = ("gross_sales", "discount_amount", "net_sales", "cost_of_goods", "gross_margin")
-MONEY_UNITS = 10_000
+MONEY_TYPE = "decimal(15,4)"
 SLA_HOURS = 720
 
 
@@ -28,17 +28,13 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     percent = F.floor(F.col("l_discount") * 100 + F.lit(0.5))
     gross, discount, cost = cents * 100, cents * percent, cents * COST_PERCENT
     amounts = (gross, discount, gross - discount, cost, gross - discount - cost)
+    one = F.lit("0.0001").cast("decimal(4,4)")
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey",
         F.col("l_quantity").cast("bigint").alias("units"),
         F.col("l_discount").cast("decimal(6,4)").alias("discount_pct"),
-        *[amount.cast("decimal(15,0)").alias(name) for name, amount in zip(MONEY, amounts)])
-
-
-def in_currency(df: DataFrame) -> DataFrame:
-    """Sales amounts as doubles in currency units."""
-    return df.withColumns({
-        c: F.col(c).cast("double") / MONEY_UNITS for c in df.columns if c in MONEY})
+        *[(amount.cast("decimal(15,0)") * one).cast(MONEY_TYPE).alias(name)
+          for name, amount in zip(MONEY, amounts)])
 
 
 def sales_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +46,7 @@ def sales_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = sales_lines(spark, sf_dir)
     lines = raw.groupBy("l_orderkey").agg(
         F.sum("units").alias("units"), F.max("discount_pct").alias("discount_pct"),
-        *[exact_sum(raw, a).cast("decimal(15,0)").alias(a) for a in MONEY])
+        *[exact_sum(raw, a).cast(MONEY_TYPE).alias(a) for a in MONEY])
     orders = table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -14,18 +16,40 @@ from tidemark.functions.columns import col, is_blank
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Replace a catalog table with ``df``, schema included, and read it back.
 
-    A second run leaves the same state. ``path`` puts the files in a chosen
-    (shared) folder instead of the session's warehouse.
+    A second run leaves the same state. The new rows are written to a folder of
+    their own first; only then does the name move to them, so a write that fails
+    leaves the old table as it was. ``path`` names the (shared) folder that holds
+    the table's versions instead of the session's warehouse; the version that the
+    name left is removed.
     """
     spark = df.sparkSession
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
+    if path is None:
+        following = f"{name}__next"
+        spark.sql(f"DROP TABLE IF EXISTS {following}")
+        df.write.format("parquet").saveAsTable(following)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+        return spark.table(name)
+    version = f"{path}/version-{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    before = None
+    if spark.catalog.tableExists(name):
+        before = {r["col_name"]: r["data_type"] for r in
+                  spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}.get("Location")
+        spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    spark.catalog.createTable(name, version, "parquet", df.schema)
+    if before and f"{path.split(':')[-1].rstrip('/')}/version-" in before:
+        remove_folder(before)
     return spark.table(name)
 
 
+def remove_folder(path: str) -> None:
+    """Remove a written folder that nothing reads any more; one that is gone is fine."""
+    store, place = fs.FileSystem.from_uri(path)
+    if store.get_file_info(place).type == fs.FileType.Directory:
+        store.delete_dir(place)
+
+
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Run ``df`` once, into ``path``; later steps read the written rows.
 
@@ -39,11 +63,17 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None where nothing was written yet."""
+    """The table at ``path``, or None where nothing was written yet.
+
+    A target that is there and cannot be read is an error, not an empty one.
+    """
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return spark.read.parquet(path)
 
 
 @dataclass(frozen=True)

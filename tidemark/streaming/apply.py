@@ -8,7 +8,11 @@ later batch loses against the stored newer one. Every ``compact_every`` batches
 the batch also folds all deltas into a new base.
 
 All paths follow from the batch id alone and are written with overwrite, so a
-batch that is replayed after a failure leaves the same files: exactly-once.
+batch that is replayed after a failure leaves the same files: exactly-once. When
+its files are complete, a batch writes its id beside the target; readers go by
+the largest id there, so an unfinished delta is not seen and no folder is listed.
+A compaction then removes what the one before it has folded: states can be read
+back to the last compaction but one.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.cdc import is_live, latest_images
 from tidemark.sources.files import CHANGE_COLUMNS, change_log, select_contract
-from tidemark.sources.sinks import read_if_present
+from tidemark.sources.sinks import read_if_present, remove_folder
 
 
 @dataclass(frozen=True)
@@ -49,9 +53,22 @@ class ChangeTarget:
         """``foreachBatch`` body; safe to repeat with the same ``batch_id``."""
         newest = latest_images(change_log(batch), list(self.keys), self.tie_break)
         newest.write.mode("overwrite").parquet(self._delta(batch_id))
-        if self._base_upto(batch_id) == batch_id:
+        folded = self._base_upto(batch_id) == batch_id
+        if folded:
             images = self._images(batch.sparkSession, batch_id, self._base_upto(batch_id - 1))
             images.write.mode("overwrite").parquet(self._base(batch_id))
+        # Two places in turn: the id before stays readable while this one is written.
+        batch.sparkSession.createDataFrame([(batch_id,)], "batch bigint").write.mode(
+            "overwrite").parquet(self._head(batch_id))
+        if folded:
+            last = batch_id - self.compact_every
+            for old in range(max(0, last - self.compact_every + 1), last + 1):
+                remove_folder(self._delta(old))
+            if last - self.compact_every >= 0:
+                remove_folder(self._base(last - self.compact_every))
+
+    def _head(self, batch_id: int) -> str:
+        return f"{self.path}/head-{batch_id % 2}"
 
     def _images(self, spark: SparkSession, batch_id: int, base: int) -> DataFrame:
         """Newest image per key from base ``base`` and the deltas after it."""
@@ -63,12 +80,10 @@ class ChangeTarget:
         return latest_images(frames, list(self.keys), self.tie_break)
 
     def last_batch(self, spark: SparkSession) -> int:
-        """The last batch that has a delta; -1 before the first. Reads no data columns."""
-        deltas = read_if_present(spark, f"{self.path}/delta")
-        if deltas is None:
-            return -1
-        last = deltas.agg(F.max("batch")).first()[0]
-        return -1 if last is None else int(last)
+        """The last batch that was completed; -1 before the first."""
+        heads = [h for i in (0, 1) if (h := read_if_present(spark, self._head(i))) is not None]
+        rows = [r["batch"] for h in heads for r in h.collect()]
+        return max(rows, default=-1)
 
     def images(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
         """Newest image per key, tombstones included, as of a batch (default: the last)."""

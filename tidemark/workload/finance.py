@@ -9,7 +9,6 @@ from tidemark.operators import gold, integrity, reconcile
 from tidemark.plans import metrics, standins
 from tidemark.plans.domains import domain_spec
 from tidemark.plans.gates import bronze_transactions_gate, gold_gate
-from tidemark.plans.standins import in_currency
 from tidemark.session import shared_dir
 from tidemark.sources.files import select_contract
 from tidemark.sources.tables import table
@@ -24,7 +23,7 @@ def snake(df: DataFrame) -> DataFrame:
 
 
 def report(df: DataFrame) -> DataFrame:
-    return portable(in_currency(snake(df)))
+    return portable(snake(df))
 
 
 def written_gold(spark: SparkSession, spec, facts: DataFrame, documents: DataFrame,
@@ -319,18 +318,17 @@ fact AS (
   LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
-# Ratios divide whole ten-thousandths, as the view does, so both engines round alike.
-def _units(column: str) -> str:
-    return f"CAST(SUM(CAST(CAST({column} AS DECIMAL(18,4)) * 10000 AS BIGINT)) AS DOUBLE)"
+def _amount(column: str) -> str:
+    return f"CAST(SUM({column}) AS DOUBLE)"
 
 
 _SUMS = {
     "transaction_count": "COUNT(*)", "order_count": "COUNT(DISTINCT l_orderkey)",
     "units_sold": "CAST(SUM(units) AS BIGINT)", "gross_sales": "CAST(SUM(gross_sales) AS DOUBLE)",
     "net_sales": "CAST(SUM(net_sales) AS DOUBLE)", "gross_margin": "CAST(SUM(gross_margin) AS DOUBLE)",
-    "gross_margin_percent": _units("gross_margin") + " / NULLIF(" + _units("net_sales") + ", 0)",
+    "gross_margin_percent": _amount("gross_margin") + " / NULLIF(" + _amount("net_sales") + ", 0)",
     "discount_amount": "CAST(SUM(discount_amount) AS DOUBLE)",
-    "discount_rate": _units("discount_amount") + " / NULLIF(" + _units("gross_sales") + ", 0)",
+    "discount_rate": _amount("discount_amount") + " / NULLIF(" + _amount("gross_sales") + ", 0)",
 }
 
 
@@ -393,7 +391,7 @@ _CONTRACT_MEASURES = ["Transaction Count", "Order Count", "Total Units", "Gross
   CAST(SUM(order_count) AS BIGINT) AS order_count, CAST(SUM(total_units) AS BIGINT) AS total_units,
   CAST(SUM(gross_sales) AS DOUBLE) AS gross_sales, CAST(SUM(net_sales) AS DOUBLE) AS net_sales,
   CAST(SUM(gross_margin) AS DOUBLE) AS gross_margin,
-  {_units('gross_margin')} / NULLIF({_units('net_sales')}, 0) AS gross_margin_percent
+  {_amount('gross_margin')} / NULLIF({_amount('net_sales')}, 0) AS gross_margin_percent
 FROM contract_mart GROUP BY contract_id, contract_customer_name, contract_currency""",
     base.SALES, base.AGREEMENTS, base.CONTRACT_MART))
 def metric_contracts_all(spark: SparkSession, sf_dir: str) -> DataFrame:

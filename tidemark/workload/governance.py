@@ -15,7 +15,7 @@ from tidemark.plans.domains import domain_spec
 from tidemark.plans.gates import metadata_gate, metrics_gate
 from tidemark.plans.medallion import run_domain
 from tidemark.session import shared_dir
-from tidemark.sources.tables import table
+from tidemark.sources.tables import SCHEMAS, table
 from tidemark.sources.sinks import materialize
 from tidemark.workload import base
 from tidemark.workload.finance import contract_tables, sales_tables
@@ -23,18 +23,11 @@ from tidemark.workload.itsm import incidents, service_mart
 from tidemark.workload.registry import register
 from tidemark.workload.security import cve_mart
 
-# Columns of the profiled tables: (name, Spark type).
-PROFILED = {
-    "customer": (("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
-                 ("c_acctbal", "double"), ("c_mktsegment", "string")),
-    "orders": (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
-               ("o_orderpriority", "string")),
-    "documents": (("doc_id", "bigint"), ("text", "string"), ("lang", "string"),
-                  ("source", "string"), ("n_chars", "bigint")),
-}
-TEXT_COLUMNS = {"documents": ("text",), "conversations": ("text",), "pages": ("url", "html"),
-                "customer": ("c_name",)}
+# Every table and column: (name, Spark type).
+PROFILED = {name: tuple(tuple(c.strip().split(" ")) for c in ddl.split(","))
+            for name, ddl in SCHEMAS.items()}
+TEXT_COLUMNS = {name: texts for name, columns in PROFILED.items()
+                if (texts := tuple(c for c, kind in columns if kind == "string"))}
 CURATED = ("c_name",)
 
 
@@ -62,12 +55,14 @@ def _profile_sql() -> str:
         for i, (column, data_type) in enumerate(columns):
             size = (f"CAST(SUM(length({column})) AS DOUBLE) / COUNT({column})"
                     if data_type == "string" else "CAST(NULL AS DOUBLE)")
+            scalar = not data_type.startswith("array")
+            low, high = ((f"CAST({f}({column}) AS VARCHAR)" for f in ("MIN", "MAX"))
+                         if scalar else ("CAST(NULL AS VARCHAR)",) * 2)
             rows.append(
                 f"SELECT '{name}' AS table_name, '{column}' AS column_name, CAST({i} AS BIGINT) AS ordinal, "
                 f"'{data_type}' AS data_type, COUNT(*) AS row_count, "
                 f"COUNT(*) FILTER (WHERE {column} IS NULL) AS null_count, "
-                f"CAST(MIN({column}) AS VARCHAR) AS min_value, "
-                f"CAST(MAX({column}) AS VARCHAR) AS max_value, {size} AS mean_length FROM {name}")
+                f"{low} AS min_value, {high} AS max_value, {size} AS mean_length FROM {name}")
     return "profiled AS (" + "\nUNION ALL ".join(rows) + ")"
 
 
@@ -83,16 +78,17 @@ def _matches_sql() -> str:
 
 _PI = """pi AS (
   SELECT table_name, column_name, detector AS pi_class, matches, values_checked
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY table_name, column_name
-                                     ORDER BY matches DESC, detector) AS rn
-        FROM matched WHERE matches > 0) AS ranked WHERE rn = 1)"""
+  FROM matched WHERE matches > 0)"""
 _DICTIONARY = ",\n".join([_profile_sql(), _matches_sql(), _PI, """dictionary AS (
   SELECT p.table_name, p.column_name, p.ordinal, p.data_type, p.row_count, p.null_count,
          upper(substr(replace(p.column_name, '_', ' '), 1, 1))
          || lower(substr(replace(p.column_name, '_', ' '), 2)) AS description,
          COALESCE(pi.pi_class, CASE WHEN p.column_name = 'c_name' THEN 'personal' END) AS pi_class,
          'commerce' AS business_domain
-  FROM profiled p LEFT JOIN pi ON p.table_name = pi.table_name AND p.column_name = pi.column_name)"""])
+  FROM profiled p LEFT JOIN (
+    SELECT table_name, column_name, string_agg(pi_class, ', ' ORDER BY pi_class) AS pi_class
+    FROM pi GROUP BY table_name, column_name) pi
+  ON p.table_name = pi.table_name AND p.column_name = pi.column_name)"""])
 
 
 @register("column_profile", base.with_ctes("SELECT * FROM profiled", _profile_sql()))
@@ -155,17 +151,17 @@ def _mean(value: str) -> str:
 _SANITY = "\nUNION ALL ".join([
     _sanity_sql("finance_sales_metrics", "lines", {
         "Transaction Count": "COUNT(*)", "Order Count": "COUNT(DISTINCT l_orderkey)",
-        "Units Sold": "SUM(units)", "Gross Sales": "SUM(gross_sales) * 10000",
-        "Net Sales": "SUM(net_sales) * 10000", "Gross Margin": "SUM(gross_margin) * 10000",
+        "Units Sold": "SUM(units)", "Gross Sales": "SUM(gross_sales)",
+        "Net Sales": "SUM(net_sales)", "Gross Margin": "SUM(gross_margin)",
         "Gross Margin Percent": _ratio("SUM(gross_margin)", "SUM(net_sales)")}),
     _sanity_sql("finance_contract_metrics", "contract_mart", {
         "Transaction Count": "SUM(transaction_count)", "Order Count": "SUM(order_count)",
-        "Total Units": "SUM(total_units)", "Gross Sales": "SUM(gross_sales) * 10000",
-        "Net Sales": "SUM(net_sales) * 10000", "Gross Margin": "SUM(gross_margin) * 10000",
+        "Total Units": "SUM(total_units)", "Gross Sales": "SUM(gross_sales)",
+        "Net Sales": "SUM(net_sales)", "Gross Margin": "SUM(gross_margin)",
         "Gross Margin Percent": _ratio("SUM(gross_margin)", "SUM(net_sales)")}),
     _sanity_sql("finance_discount_metrics", "lines", {
-        "Gross Sales": "SUM(gross_sales) * 10000", "Discount Amount": "SUM(discount_amount) * 10000",
-        "Net Sales": "SUM(net_sales) * 10000",
+        "Gross Sales": "SUM(gross_sales)", "Discount Amount": "SUM(discount_amount)",
+        "Net Sales": "SUM(net_sales)",
         "Discount Rate": _ratio("SUM(discount_amount)", "SUM(gross_sales)")}),
     _sanity_sql("security_findings_metrics", "findings", {
         "Finding Count": "COUNT(*)", "Scan Count": "COUNT(DISTINCT scan_id)",
@@ -210,8 +206,14 @@ def metric_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("gate_metrics", base.gate_sql(
     [("describe", "n > 0", "1", "1"), ("definition", "n > 0", "0", "0"),
-     ("source", "n > 0", "0", "0"), ("sanity", "n > 0 AND units IS NOT NULL", "0", "0")],
-    base.LINES + ", m AS (SELECT COUNT(*) AS n, SUM(units) AS units FROM lines)"))
+     ("source", "n > 0", "0", "0"), ("join_keys", "repeated = 0", "repeated", "0"),
+     ("sanity", "n > 0 AND units IS NOT NULL", "0", "0")],
+    base.LINES + ", m AS (SELECT COUNT(*) AS n, SUM(units) AS units, (" + " + ".join(
+        f"(SELECT COUNT(*) FROM (SELECT {k} FROM {t} WHERE {k} IS NOT NULL GROUP BY {k} "
+        f"HAVING COUNT(*) > 1) AS r)" for t, k in (
+            ("part", "p_partkey"), ("orders", "o_orderkey"), ("customer", "c_custkey"),
+            ("nation", "n_nationkey"), ("region", "r_regionkey")))
+    + ") AS repeated FROM lines)"))
 def gate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = metrics.METRIC_VIEWS["finance_sales_metrics"]
     return metrics_gate(
@@ -222,13 +224,15 @@ def gate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("gate_metadata", base.gate_sql(
-    [("tables", "tables = 3", "tables", "3"),
+    [("tables", "tables = wanted", "tables", "wanted"),
      ("column_descriptions", "undescribed = 0", "undescribed", "0"),
      ("pi_values", "pi_columns > 0", "0", "0"), ("pi_columns", "pi_columns >= 1", "pi_columns", "1"),
-     ("domains", "tables = 3", "0", "0")],
+     ("domains", "undomained = 0", "undomained", "0")],
     _DICTIONARY + """,
 m AS (SELECT COUNT(DISTINCT table_name) AS tables, COUNT(pi_class) AS pi_columns,
-        COUNT(*) FILTER (WHERE trim(description) = '') AS undescribed FROM dictionary)"""))
+        @tables@ AS wanted,
+        COUNT(*) FILTER (WHERE trim(business_domain) = '') AS undomained,
+        COUNT(*) FILTER (WHERE trim(description) = '') AS undescribed FROM dictionary)""".replace("@tables@", str(len(SCHEMAS)))))
 def gate_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dictionary is written once; its tables are the ones the profile covers."""
     dictionary = materialize(_dictionary(spark, sf_dir), shared_dir(spark, "dictionary"))

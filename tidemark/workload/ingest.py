@@ -10,7 +10,7 @@ from tidemark.plans import standins
 from tidemark.plans.gates import bronze_documents_gate
 from tidemark.session import shared_dir
 from tidemark.sources import files, sinks
-from tidemark.sources.tables import SCHEMAS, table
+from tidemark.sources.tables import table
 from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream
 from tidemark.workload import base
 from tidemark.workload.registry import register
@@ -18,13 +18,27 @@ from tidemark.workload.registry import register
 
 
 # -- scans -----------------------------------------------------------------------
-@register("scan_binary_files", "SELECT filename, CAST(1 AS BIGINT) AS files FROM (VALUES "
-          + ", ".join(f"('{t}.parquet')" for t in SCHEMAS) + ") AS listed(filename)")
+ROWS_A_FILE = 500  # bounds a file, which a binary scan reads whole
+
+
+@register("scan_binary_files", """SELECT lang AS source_class, CAST(SUM(strlen(text) + 1) AS BIGINT) AS size_bytes,
+  CAST(SUM(strlen(text) + 1) AS BIGINT) AS content_bytes,
+  CAST(SUM(len(string_split(text, chr(10)))) AS BIGINT) AS lines, TRUE AS digests_differ
+FROM documents GROUP BY lang""")
 def scan_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists raw files; no column asks for content, so no bytes are read."""
-    return (files.binary_files(spark, sf_dir, "*.parquet")
-            .groupBy(path_filename("path").alias("filename"))
-            .agg(F.count(F.lit(1)).alias("files")))
+    """Documents written as text files in a folder per class, scanned with their bytes."""
+    root = shared_dir(spark, "raw-files")
+    for_class = standins.document_rows(spark, sf_dir).select("source_class", "parsed_text")
+    for_class.write.option("maxRecordsPerFile", ROWS_A_FILE).partitionBy("source_class").text(root)
+    bronze = files.bronze_documents(files.binary_files(spark, root, "*.txt"))
+    return bronze.groupBy(
+        F.element_at(F.split("source_class", "="), -1).alias("source_class")).agg(
+        F.sum("size_bytes").alias("size_bytes"),
+        F.sum(F.octet_length("content")).cast("bigint").alias("content_bytes"),
+        F.sum(F.regexp_count(F.decode("content", "UTF-8"), F.lit("\n"))).cast("bigint")
+        .alias("lines"),
+        (F.count_distinct(F.sha2("content", 256)) == F.count_distinct("path"))
+        .alias("digests_differ"))
 
 
 @register("scan_snapshot", """SELECT p_partkey, p_name, p_brand, p_type,
@@ -65,11 +79,9 @@ def roundtrip_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "overwrite")
     name = "tidemark_" + path.rsplit("-", 1)[-1]
     wide = orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(14,2)"))
-    sinks.overwrite_table(orders.select("o_orderkey"), name, f"{path}/v1")
-    sinks.overwrite_table(wide, name, f"{path}/v2")
-    sinks.overwrite_table(wide, name, f"{path}/v3")
-    spark.sql(f"DROP TABLE {name}")  # the files stay; the catalog is left as it was
-    written = files.snapshot(spark, f"{path}/v3")
+    sinks.overwrite_table(orders.select("o_orderkey"), name, path)
+    sinks.overwrite_table(wide, name, path)
+    written = sinks.overwrite_table(wide, name, path)
     return portable(written.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("o_totalprice").alias("total_price")))
 
@@ -118,8 +130,7 @@ def cdc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     log = cdc.synthesize_log(orders, F.col("o_orderkey"))
     state = cdc.current_state(log, "o_orderkey", orders.columns, ["o_orderkey"])
-    return cdc.row_differences(orders, state).withColumn(
-        "rows_compared", F.lit(orders.count()).cast("bigint"))
+    return cdc.row_differences(orders, state)
 
 
 @register("cdc_stream_apply", _LIVE_SQL)
@@ -137,15 +148,30 @@ def cdc_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- manifests -------------------------------------------------------------------
 @register("manifest_audit", """SELECT status, COUNT(*) AS artifacts
-FROM (SELECT CASE WHEN l.doc_id IS NULL THEN 'unlisted' WHEN d.doc_id IS NULL THEN 'missing'
-             WHEN length(d.text) <> d.n_chars THEN 'mismatch' ELSE 'ok' END AS status
-      FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id) AS audited GROUP BY status""")
+FROM (SELECT CASE WHEN l.digest IS NULL THEN 'unlisted' WHEN d.digest IS NULL THEN 'missing'
+             WHEN d.digest <> l.digest THEN 'mismatch' ELSE 'ok' END AS status
+      FROM (SELECT '/documents/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path,
+                   sha256(text) AS digest FROM documents) d
+      FULL JOIN (
+        SELECT '/documents/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path,
+               sha256(CASE WHEN toxic = 1 THEN lower(text) ELSE text END) AS digest
+        FROM documents JOIN labels USING (doc_id)
+        UNION ALL SELECT '/benchmark/' || CAST(item_id AS VARCHAR) || '.txt', sha256(text)
+        FROM benchmark) l ON d.path = l.path) AS audited GROUP BY status""")
 def manifest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents are listed in a checksum file; all documents are audited against it."""
+    """Documents against a checksum file that lists the labelled ones, toxic ones as they were
+    before an edit, and benchmark items that never landed."""
     path = shared_dir(spark, "checksums")
     docs = standins.document_rows(spark, sf_dir).select(
-        "doc_id", F.col("path").alias("relative_path"), F.sha2("parsed_text", 256).alias("digest"))
-    listed = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+        "doc_id", F.col("path").alias("relative_path"), F.sha2("parsed_text", 256).alias("digest"),
+        F.sha2(F.lower("parsed_text"), 256).alias("older"))
+    known = docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id").select(
+        "relative_path", F.when(F.col("toxic") == 1, F.col("older")).otherwise(F.col("digest"))
+        .alias("digest"))
+    absent = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("/benchmark/"), F.col("item_id").cast("string"), F.lit(".txt"))
+        .alias("relative_path"), F.sha2("text", 256).alias("digest"))
+    listed = known.unionByName(absent)
     listed.select(F.concat_ws("  ", "digest", "relative_path").alias("value")).write.text(path)
     audit = reconcile.manifest_audit(
         docs, files.checksum_manifest(spark, path), "relative_path", "digest")

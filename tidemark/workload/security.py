@@ -68,9 +68,13 @@ def preview_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""SELECT severity, MIN(CAST(cvss_score AS DOUBLE)) AS lowest_score,
   MAX(CAST(cvss_score AS DOUBLE)) AS highest_score, COUNT(*) AS findings,
   COUNT(*) FILTER (WHERE severity IS DISTINCT FROM {base.BAND.format('cvss_score')}) AS wrong_band
-FROM findings GROUP BY severity""", base.FINDINGS))
+FROM (SELECT cvss_score, CASE WHEN exploit_available THEN 'Critical' ELSE severity END AS severity
+      FROM findings) AS reported GROUP BY severity""", base.FINDINGS))
 def severity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(standins.scan_findings(spark, sf_dir).groupBy("severity").agg(
+    """Findings as a scanner reports them that calls every exploit critical."""
+    reported = standins.scan_findings(spark, sf_dir).withColumn("severity", F.when(
+        F.col("exploit_available"), "Critical").otherwise(F.col("severity")))
+    return portable(reported.groupBy("severity").agg(
         F.min("cvss_score").alias("lowest_score"), F.max("cvss_score").alias("highest_score"),
         F.count(F.lit(1)).alias("findings"),
         F.count_if(~F.col("severity").eqNullSafe(severity_band("cvss_score"))).alias("wrong_band")))

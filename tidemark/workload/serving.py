@@ -74,13 +74,12 @@ def serving_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "serving-feed")
     mart = sinks.materialize(contract_mart(spark, sf_dir).select(*_SERVED), f"{root}/mart")
     stale = mart.withColumn("net_sales", F.lit(0).cast(mart.schema["net_sales"].dataType))
-    final = cdc.synthesize_log(mart, F.lit(2)).repartition(1)
-    first = cdc.synthesize_log(stale, F.lit(1)).repartition(1)
-    final.write.parquet(f"{root}/feed")
-    first.write.mode("append").parquet(f"{root}/feed")
-    target = ChangeTarget(f"{root}/target", ("contract_id",), final.schema)
-    stream = file_stream(spark, f"{root}/feed", final.schema, max_files=1)
-    apply_changes(stream, target, f"{root}/checkpoint").awaitTermination()
+    versions = (cdc.synthesize_log(mart, F.lit(2)), cdc.synthesize_log(stale, F.lit(1)))
+    target = ChangeTarget(f"{root}/target", ("contract_id",), versions[0].schema)
+    for version in versions:  # what has landed is applied before more lands
+        version.write.mode("append").parquet(f"{root}/feed")
+        stream = file_stream(spark, f"{root}/feed", version.schema)
+        apply_changes(stream, target, f"{root}/checkpoint").awaitTermination()
     return report(target.current(spark, _SERVED))
 
 
@@ -91,16 +90,28 @@ def serving_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.kpis(_served_cves(spark, sf_dir))
 
 
+# The served mart's columns that are no numbers, in order.
+_CATEGORIES = (
+    "cve_id", "advisory_document_path", "advisory_document_filename", "advisory_title",
+    "advisory_published_date", "advisory_recommended_remediation", "vulnerability_title",
+    "vulnerability_category", "severity", "exploit_available", "first_scan_date", "last_scan_date")
+
+
 @register("serving_top_categories", base.with_ctes(
-    """SELECT vulnerability_category AS category, CAST(SUM(weighted_risk) AS DOUBLE) AS total
-FROM cve_mart WHERE vulnerability_category IS NOT NULL GROUP BY vulnerability_category
-ORDER BY SUM(weighted_risk) DESC, category LIMIT 10""", *_CVES))
+    """SELECT category, CAST(SUM(weighted_risk) AS DOUBLE) AS total FROM candidates
+WHERE category IS NOT NULL AND ord = (
+  SELECT MIN(ord) FROM (SELECT ord FROM candidates GROUP BY ord
+                        HAVING COUNT(DISTINCT category) BETWEEN 2 AND 25) AS small)
+GROUP BY category ORDER BY SUM(weighted_risk) DESC, category LIMIT 10""", *_CVES,
+    "candidates AS (" + " UNION ALL ".join(
+        f"SELECT {i} AS ord, CAST({c} AS VARCHAR) AS category, weighted_risk FROM cve_mart"
+        for i, c in enumerate(_CATEGORIES)) + ")"))
 def serving_top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The category column is the first of the candidates with 2 to 25 values."""
+    """The category column is the first text or flag column with 2 to 25 values."""
     served = _served_cves(spark, sf_dir)
-    category = serving.category_column(served, ["vulnerability_category", "severity"])
+    category = serving.category_column(served)
     top = serving.top_categories(served, category, "weighted_risk")
-    return portable(top.withColumnRenamed(category, "category"))
+    return portable(top.select(F.col(category).cast("string").alias("category"), "total"))
 
 
 @register("serving_top_rows", base.with_ctes(
