@@ -24,6 +24,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.functions.columns import col, from_limbs, is_blank, limbs, narrow_decimal
 
 
+#: A bounded table of at most so many rows is broadcast.
+SMALL_ROWS = 10_000
+
+
 @dataclass(frozen=True)
 class Dimension:
     """A named grouping expression; ``join`` names the joined table it reads."""
@@ -39,7 +43,8 @@ class Join:
 
     ``after`` names the join that provides ``left_key`` when it is not a source
     column. ``bounded`` says the table has a fixed number of rows (a code list),
-    so aggregating before the join gains nothing. ``unique`` promises that
+    so aggregating before the join gains nothing, and it is broadcast to the table
+    it hangs on once its size is checked. ``unique`` promises that
     ``right_key`` does not repeat (``MetricView.repeated_keys`` proves it); without
     the promise the table is reduced to one row per key, the largest.
     """
@@ -259,6 +264,8 @@ class MetricView:
                 F.col("__one").getField(c).alias(c) for c in rest]) if rest else rows.distinct())
         for child in children:
             right = self._branch(tables, child, joins, dims)
+            if child.bounded and _is_small(tables[child.name]):
+                right = F.broadcast(right)
             rows = rows.join(right, F.col(f"__key_{child.name}") == F.col(f"__on_{child.name}"),
                              "left").drop(f"__key_{child.name}", f"__on_{child.name}")
         return rows
@@ -377,6 +384,11 @@ class _Partial:
         return F.coalesce(value, F.lit(0)) if kind == "count" else value
 
 
+def _is_small(df: DataFrame) -> bool:
+    """Whether a table declared bounded has so few rows indeed; reads no more than these."""
+    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+
+
 def _preaggregate(rows: DataFrame, partials: Sequence[_Partial]) -> DataFrame:
     merged = [c for p in partials for c in p.merges()]
     summed = {name for p in partials for name, _ in p._merge()}
