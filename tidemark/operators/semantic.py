@@ -217,10 +217,14 @@ class MetricView:
         if (len(branches) == 1 and not branches[0].bounded
                 and not any(p.distinct_column for p in partials)):
             rows = _preaggregate(rows, partials)
-        for join in branches:
+        # A branch keyed by what is counted distinct comes last and is joined by that very
+        # column: its rows are then already where the count needs them.
+        counted = {p.measure.expr: p.distinct_column for p in partials if p.distinct_column}
+        for join in sorted(branches, key=lambda j: j.left_key in counted):
             right = self._branch(tables, join, joins, all_dims)
-            rows = rows.join(right, F.col(f"__key_{join.name}") == F.col(f"__on_{join.name}"),
-                             "left").drop(f"__key_{join.name}", f"__on_{join.name}")
+            key = counted.get(join.left_key, f"__key_{join.name}")
+            rows = rows.join(right, F.col(key) == F.col(f"__on_{join.name}"), "left").drop(
+                f"__key_{join.name}", f"__on_{join.name}")
         rows = _filter(rows, filters, [d for d in all_dims if d.join is not None])
 
         grouped = rows.groupBy(*[col(d.name) for d in asked]).agg(
