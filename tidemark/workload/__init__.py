@@ -2,7 +2,7 @@
 
 from tidemark.workload.registry import ORACLES, QUERIES
 from tidemark.workload import (  # noqa: F401  (importing a module registers its queries)
-    contracts, documents, finance, governance, ingest, itsm, security, serving,
+    contracts, damage, documents, finance, governance, ingest, itsm, security, serving,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -190,14 +190,18 @@ FROM stages CROSS JOIN failure"""
 
 
 def gold_gate_sql(ctes: str, source: str, documents: str, mart: str, key: str, group: str,
-                  document_key: str, sums: dict[str, str]) -> str:
-    """The gold gate's stages over a detail table and mart built from the same CTEs."""
+                  document_key: str, sums: dict[str, str], detail: str | None = None) -> str:
+    """The gold gate's stages over a detail table and mart built from the same CTEs.
+
+    ``detail`` replaces the detail table: columns k, g and doc over ``s`` and ``d``.
+    """
+    detail = detail or f"s.{key} AS k, s.{group} AS g, d.{document_key} AS doc"
     wrong = " OR ".join(
         [f"e.{m} IS DISTINCT FROM CAST(x.{m} AS DECIMAL(38,6))" for m in sums] or ["FALSE"])
     expected = ", ".join(
         [f"CAST({agg} AS DECIMAL(38,6)) AS {m}" for m, agg in sums.items()] or ["COUNT(*) AS n"])
     numbers = f"""{ctes},
-detail AS (SELECT s.{key} AS k, s.{group} AS g, d.{document_key} AS doc
+detail AS (SELECT {detail}
            FROM {source} s LEFT JOIN {documents} d ON s.{group} = d.{document_key}),
 wanted AS (SELECT s.{key} AS k FROM {source} s JOIN {documents} d ON s.{group} = d.{document_key}),
 e AS (SELECT {group} AS g, {expected} FROM {source} GROUP BY {group}),
@@ -207,7 +211,7 @@ m AS (SELECT
   (SELECT COUNT(*) FROM {source} WHERE {group} IS NULL) AS blank_groups,
   (SELECT COUNT(*) FROM {documents}) AS documents_rows,
   (SELECT COUNT(DISTINCT {document_key}) FROM {documents}) AS documents_distinct,
-  (SELECT COUNT(*) FROM wanted) AS expected_enriched,
+  (SELECT COUNT(DISTINCT k) FROM wanted) AS expected_enriched,
   (SELECT COUNT(*) FROM detail) AS detail_rows,
   (SELECT COUNT(DISTINCT k) FROM detail) AS detail_distinct,
   (SELECT COUNT(*) FROM (SELECT {key} FROM {source} EXCEPT SELECT k FROM detail) AS a)

@@ -22,7 +22,7 @@ _SERVED_SQL = """SELECT contract_id, contract_customer_name, transaction_count,
   CAST(net_sales AS DOUBLE) AS net_sales FROM contract_mart"""
 
 
-def _publish(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def publish(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The persisted mart and its serving copy."""
     root = shared_dir(spark, "serving")
     mart = sinks.materialize(contract_mart(spark, sf_dir), f"{root}/mart")
@@ -37,14 +37,14 @@ def _served_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("serving_snapshot", base.with_ctes(_SERVED_SQL, *_CONTRACTS))
 def serving_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(_publish(spark, sf_dir)[1].select(*_SERVED))
+    return report(publish(spark, sf_dir)[1].select(*_SERVED))
 
 
 @register("serving_rows", base.with_ctes(
     _SERVED_SQL + " ORDER BY contract_id LIMIT 100", *_CONTRACTS))
 def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(files.serving_rows(
-        _publish(spark, sf_dir)[1].select(*_SERVED), "contract_id", 100))
+        publish(spark, sf_dir)[1].select(*_SERVED), "contract_id", 100))
 
 
 _PARITY_SQL = """SELECT COUNT(*) AS source_rows, COUNT(*) AS served_rows,
@@ -54,7 +54,7 @@ FROM contract_mart"""
 
 @register("serving_parity", base.with_ctes(_PARITY_SQL, *_CONTRACTS))
 def serving_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart, served = _publish(spark, sf_dir)
+    mart, served = publish(spark, sf_dir)
     return serving.serving_parity(mart, served, "contract_id")
 
 
@@ -64,7 +64,7 @@ def serving_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ",".join(_CONTRACTS)
     + ", m AS (SELECT COUNT(*) AS n, COUNT(DISTINCT contract_id) AS k FROM contract_mart)"))
 def gate_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart, served = _publish(spark, sf_dir)
+    mart, served = publish(spark, sf_dir)
     return serving_gate(serving.serving_parity(mart, served, "contract_id"))
 
 
