@@ -197,3 +197,15 @@ def test_sales_metrics_shuffle_the_lines_once_per_branch(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     exchanges = plan.count("Exchange hashpartitioning")
     assert exchanges <= 7, plan
+
+
+def test_the_gate_asks_where_a_copy_came_from(spark, tmp_path):
+    from tidemark.plans.gates import serving_gate
+    mart = spark.range(3).selectExpr("cast(id AS string) AS k", "id AS v")
+    served = sinks.publish_snapshot(mart, ["k"], f"{tmp_path}/served", "mart-a")
+    parity = serving.serving_parity(mart, served, "k")
+    source = sinks.published_source(spark, f"{tmp_path}/served")
+    for wanted, verdict in (("mart-a", "pass"), ("mart-b", "fail")):
+        stages = serving_gate(parity, source == wanted).orderBy("stage_no").collect()
+        assert (stages[0].stage, stages[0].verdict) == ("source", verdict)
+    assert sinks.published_source(spark, f"{tmp_path}/none") is None

@@ -315,10 +315,18 @@ def silver_gate(silver: DataFrame | None, expected: DataFrame, extracted: DataFr
 
 
 # -- serving -----------------------------------------------------------------------
-def serving_gate(parity: DataFrame) -> DataFrame:
-    """Stages over one ``serving_parity`` row."""
-    return judge([parity.drop("passed")],
-                 ("source_rows", "served_rows", "bad_keys", "key_differences"), (
+def serving_gate(parity: DataFrame, source_matches: bool | None = None) -> DataFrame:
+    """Stages over one ``serving_parity`` row; first, if given, whether the copy was published
+    from the source it is compared with."""
+    summary = parity.drop("passed")
+    first = []
+    if source_matches is not None:
+        summary = summary.withColumn("matches", F.lit(int(source_matches)).cast("bigint"))
+        first = [Stage("source", "matches = 1", "matches", "1")]
+    return judge([summary],
+                 ("source_rows", "served_rows", "bad_keys", "key_differences",
+                  *(["matches"] if first else [])), (
+        *first,
         Stage("primary_key", "bad_keys = 0", "bad_keys", "0"),
         Stage("served", "served_rows > 0", "served_rows", "1"),
         Stage("parity", "served_rows = source_rows", "served_rows", "source_rows"),

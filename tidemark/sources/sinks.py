@@ -104,13 +104,17 @@ class PrimaryKeyError(ValueError):
     """A table to be served has blank or repeated primary keys."""
 
 
-def publish_snapshot(df: DataFrame, key: Sequence[str], path: str) -> DataFrame:
+def publish_snapshot(df: DataFrame, key: Sequence[str], path: str,
+                     source: str | None = None) -> DataFrame:
     """Write a full serving copy, then prove its primary key on the written rows.
 
     The proof reads only the key columns of the copy, so the mart itself is
-    computed once.
+    computed once. ``source`` names what is published; it is kept beside the copy.
     """
     served = materialize(df, path)
+    if source is not None:
+        df.sparkSession.createDataFrame([(source,)], "source string").write.mode(
+            "overwrite").parquet(f"{path}-source")
     violations = (served.groupBy(*[col(k) for k in key]).count()
                   .agg(F.count_if((F.col("count") > 1) | _any_blank(key)).alias("n"))
                   .first()["n"])
@@ -119,6 +123,12 @@ def publish_snapshot(df: DataFrame, key: Sequence[str], path: str) -> DataFrame:
     return served
 
 
+def published_source(spark: SparkSession, path: str) -> str | None:
+    """What the copy at ``path`` was published from; None if that is not known."""
+    kept = read_if_present(spark, f"{path}-source")
+    return None if kept is None else kept.first()["source"]
+
+
 def _any_blank(key: Sequence[str]):
     blank = F.lit(False)
     for name in key:

@@ -24,9 +24,14 @@ _SERVED_SQL = """SELECT contract_id, contract_customer_name, transaction_count,
 
 def publish(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The persisted mart and its serving copy."""
+    return _published(spark, sf_dir)[:2]
+
+
+def _published(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, str]:
     root = shared_dir(spark, "serving")
     mart = sinks.materialize(contract_mart(spark, sf_dir), f"{root}/mart")
-    return mart, sinks.publish_snapshot(mart, ["contract_id"], f"{root}/served")
+    return mart, sinks.publish_snapshot(mart, ["contract_id"], f"{root}/served",
+                                        f"{root}/mart"), root
 
 
 def _served_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,13 +64,15 @@ def serving_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("gate_serving", base.gate_sql(
-    [("primary_key", "n = k", "n - k", "0"), ("served", "n > 0", "n", "1"),
+    [("source", "n > 0", "1", "1"),
+     ("primary_key", "n = k", "n - k", "0"), ("served", "n > 0", "n", "1"),
      ("parity", "n > 0", "n", "n"), ("identity", "n > 0", "0", "0")],
     ",".join(_CONTRACTS)
     + ", m AS (SELECT COUNT(*) AS n, COUNT(DISTINCT contract_id) AS k FROM contract_mart)"))
 def gate_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart, served = publish(spark, sf_dir)
-    return serving_gate(serving.serving_parity(mart, served, "contract_id"))
+    mart, served, root = _published(spark, sf_dir)
+    return serving_gate(serving.serving_parity(mart, served, "contract_id"),
+                        sinks.published_source(spark, f"{root}/served") == f"{root}/mart")
 
 
 @register("serving_incremental", base.with_ctes(_SERVED_SQL, *_CONTRACTS))
