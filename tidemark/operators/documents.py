@@ -86,11 +86,12 @@ class LabelProfile:
 
 
 def classify(docs: DataFrame, profiles: Sequence[LabelProfile], text: str = "parsed_text",
-             output: str = "doc_class") -> DataFrame:
+             output: str = "doc_class", fallback: str | None = None) -> DataFrame:
     """Adds exactly one label per document, from its whole text alone.
 
     The label with the highest weighted term count wins; ties go to the label
-    that sorts first, so every run predicts the same. Blank text gets NULL.
+    that sorts first, so every run predicts the same. Blank text gets NULL, and
+    text without any term ``fallback``, or without one the label that sorts first.
     The text is split once, and only tokens that are a term are scored per label.
     """
     ordered = sorted(profiles, key=lambda p: p.label)
@@ -101,6 +102,8 @@ def classify(docs: DataFrame, profiles: Sequence[LabelProfile], text: str = "par
                  F.lit(-i).alias("rank"), F.lit(p.label).alias("label"))
         for i, p in enumerate(ordered)])
     best = F.array_max(candidates)["label"]
+    if fallback is not None:
+        best = F.when(F.array_max(candidates)["score"] > 0, best).otherwise(F.lit(fallback))
     return scored.withColumn(output, F.when(~is_blank(text), best)).drop("__tokens")
 
 

@@ -47,7 +47,11 @@ PAGE_FIELDS = (
 
 
 def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs_ops.classify(standins.document_rows(spark, sf_dir), LANGUAGES)
+    """Classified documents; one without evidence gets the most frequent folder."""
+    rows = standins.document_rows(spark, sf_dir)
+    prior = (integrity.count_by(rows.where("source_class IS NOT NULL"), "source_class")
+             .orderBy(F.desc("row_count"), "source_class").first())
+    return docs_ops.classify(rows, LANGUAGES, fallback=prior["source_class"] if prior else None)
 
 
 def _flat(extracted: DataFrame, contracts, keep: list[str]) -> DataFrame:
@@ -74,6 +78,8 @@ scored AS (
         FROM documents) AS tokenized),
 silver AS (
   SELECT *, CASE WHEN parsed_text IS NULL OR trim(parsed_text) = '' THEN NULL
+    WHEN s_de + s_en + s_es + s_fr = 0 THEN (
+      SELECT lang FROM documents GROUP BY lang ORDER BY COUNT(*) DESC, lang LIMIT 1)
     WHEN s_de >= s_en AND s_de >= s_es AND s_de >= s_fr THEN 'de'
     WHEN s_en >= s_es AND s_en >= s_fr THEN 'en'
     WHEN s_es >= s_fr THEN 'es' ELSE 'fr' END AS doc_class
