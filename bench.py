@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from tidemark.session import local_session
+from tidemark.session import local_session, release
 from tidemark.workload import QUERIES
 
 HEADLINE = (
@@ -44,6 +44,7 @@ def main() -> None:
         "metric": "headline_queries_total", "value": round(sum(second.values()), 3),
         "unit": "sec", "queries": second, "first_run": first,
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1], "cpus": int(cpus)}))
+    release(spark)
     spark.stop()
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -48,6 +49,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application; call it when no result is read
+    any more."""
+    base = spark.conf.get(CHECKPOINT_DIR, None) or (_LOCAL[0] if _LOCAL else None)
+    if base:
+        store, path = fs.FileSystem.from_uri(
+            f"{base.rstrip('/')}/{spark.sparkContext.applicationId}")
+        if store.get_file_info(path).type == fs.FileType.Directory:
+            store.delete_dir(path)
+
+
 _LOCAL: list[str] = []
 
 
