@@ -473,6 +473,17 @@ def found_rows(rows):
     return sorted(map(tuple, rows), key=repr)
 
 
+def test_sources_without_words(spark):
+    rows = [(1, None, "en", "a", None), (2, "", "en", "a", 0), (3, "x y z", "en", "b", 5)]
+    docs = spark.createDataFrame(rows, samples.SCHEMA)
+    got = {r.doc_id: r for r in curriculum.mixture(docs).collect()}
+    assert got[1].target == 0 and got[1].taken == 0 and got[1].position is None
+    assert got[3].target == 3 and got[3].taken == 3
+    assert [r.doc_id for r in curriculum.mixed_documents(docs).collect()] == [3]
+    none = curriculum.mixture(docs.filter("doc_id < 3")).collect()
+    assert [r.taken for r in none] == [0, 0]
+
+
 def test_targets_share_what_is_over(spark):
     sizes = {"a": 1000, "b": 10, "c": 5, "d": 400, "e": 0, None: 30}
     rows = spark.createDataFrame(list(sizes.items()), "source string, size bigint")

@@ -173,7 +173,8 @@ def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     slots = np.zeros(SLOTS, bool)
     slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).alias("slot")
-    slots[[r["slot"] for r in wanted.select(slot).distinct().collect()]] = True
+    # At most as many rows as there are slots come back.
+    slots[wanted.select(slot).distinct().toArrow().column("slot").to_numpy()] = True
     marked = docs.sparkSession.sparkContext.broadcast(np.packbits(slots))
 
     def run(batches):

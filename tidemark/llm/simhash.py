@@ -233,7 +233,7 @@ def links(distinct: DataFrame, limit: int = LIMIT, block: int = BLOCK) -> DataFr
     """
     spark = distinct.sparkSession
     n = distinct.count()
-    drawn = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE).toPandas()["fp"].to_numpy()
+    drawn = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE).toArrow().column("fp").to_numpy()
     keys = probe_keys(plan_probes(drawn.astype(np.int64).view(np.uint64), n, limit))
     # One small expression whatever the number of keys: the masks are an array literal.
     masks = F.array(*[F.lit(_signed(m)).cast("bigint") for _, m in keys])
