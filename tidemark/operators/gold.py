@@ -55,18 +55,22 @@ class Mart:
     """Grain, measures and attributes of a business-key mart.
 
     ``attributes`` come from the document and ``fact_attributes`` from the facts;
-    both depend on the business key.
+    both depend on the business key. ``picked`` are texts of the fact with the
+    largest value of another column: (name, that column, text column). ``collapses``
+    says that a key has many rows, so that reducing its texts first is worth a pass.
     """
 
     group_key: str
     measures: tuple[tuple[str, Column | Total | Mean], ...]
     attributes: tuple[str, ...] = ()
     fact_attributes: tuple[str, ...] = ()
+    picked: tuple[tuple[str, str, str], ...] = ()
+    collapses: bool = True
 
     @property
     def columns(self) -> list[str]:
         return [self.group_key, *self.attributes, *self.fact_attributes,
-                *[name for name, _ in self.measures]]
+                *[name for name, _, _ in self.picked], *[name for name, _ in self.measures]]
 
     def totals(self, df: DataFrame, attributes: Sequence[str]) -> DataFrame:
         """Measures and attributes by business key.
@@ -77,17 +81,23 @@ class Mart:
         their first non-null one is taken by ``max``, which does not depend on
         row order. Both sides end up partitioned by the key that joins them. Facts
         without a business key, which the gate rejects, keep their measures and get
-        no attributes.
+        no attributes. Where the key hardly repeats, nothing collapses, and all is
+        aggregated in one pass.
         """
         key = col(self.group_key)
-        measured = df.groupBy(key).agg(*[
-            (m.over(df) if isinstance(m, (Total, Mean)) else m).alias(name)
-            for name, m in self.measures])
-        if not attributes:
-            return measured
-        described = df.select(key, *[col(a) for a in attributes]).distinct().groupBy(key).agg(
-            *[F.max(col(a)).alias(a) for a in attributes])
-        return measured.join(described, self.group_key, "left")
+        measures = [(m.over(df) if isinstance(m, (Total, Mean)) else m).alias(name)
+                    for name, m in self.measures]
+        texts = [F.max(col(a)).alias(a) for a in attributes]
+        texts += [F.max(F.struct(col(by), col(text)))[text].alias(name)
+                  for name, by, text in self.picked]
+        if not texts:
+            return df.groupBy(key).agg(*measures)
+        if not self.collapses:
+            return df.groupBy(key).agg(*measures, *texts)
+        needed = dict.fromkeys([*attributes, *[c for _, by, text in self.picked
+                                               for c in (by, text)]])
+        described = df.select(key, *[col(c) for c in needed]).distinct().groupBy(key).agg(*texts)
+        return df.groupBy(key).agg(*measures).join(described, self.group_key, "left")
 
 
 def mart_from_detail(detail: DataFrame, mart: Mart) -> DataFrame:

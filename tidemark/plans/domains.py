@@ -104,9 +104,9 @@ def security() -> DomainSpec:
         attributes=("advisory_document_path", "advisory_document_filename", "advisory_title",
                     "advisory_published_date", "advisory_recommended_remediation"),
         fact_attributes=("vulnerability_title", "vulnerability_category"),
+        # The severity of the highest score as the source reports it, not recomputed.
+        picked=(("severity", "cvss_score", "severity"),),
         measures=(
-            # The severity of the highest score as the source reports it, not recomputed.
-            ("severity", F.max(F.struct("cvss_score", "severity"))["severity"]),
             ("cvss_score", F.max("cvss_score")),
             ("exploit_available", F.max("exploit_available")),
             ("first_scan_date", F.min("scan_date")),
@@ -139,6 +139,7 @@ def itsm() -> DomainSpec:
         group_key="incident_id",
         attributes=("incident_document_path",),
         fact_attributes=("service", "priority", "assignment_group", "configuration_item"),
+        collapses=False,  # an incident has hardly more than one ticket
         measures=(
             ("incident_count", F.count("ticket_id")),
             ("mttr_hours", Mean("resolution_hours")),
