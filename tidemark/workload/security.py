@@ -9,6 +9,8 @@ from tidemark.operators import gold, reconcile
 from tidemark.plans import metrics, standins
 from tidemark.plans.domains import domain_spec
 from tidemark.plans.gates import gold_gate
+from tidemark.session import shared_dir
+from tidemark.sources.sinks import materialize
 from tidemark.workload import base
 from tidemark.workload.finance import report, written_gold
 from tidemark.workload.registry import register
@@ -95,11 +97,11 @@ FROM (SELECT e.cve_id IS NOT NULL AND m.cve_id IS NOT NULL AS ok_key,
       FULL JOIN cve_mart m ON e.cve_id = m.cve_id) AS compared""",
     base.FINDINGS, base.ADVISORIES, base.CVE_MART))
 def reconcile_mart_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = domain_spec("security")
-    facts = standins.scan_findings(spark, sf_dir)
-    return reconcile.measure_mismatches(
-        facts, spec.mart_direct(facts, standins.advisories(spark, sf_dir)),
-        spec.group_key, spec.group_key, spec.checks)
+    """Facts and mart are written once; what was written is compared."""
+    spec, root = domain_spec("security"), shared_dir(spark, "reconcile-findings")
+    facts = materialize(standins.scan_findings(spark, sf_dir), f"{root}/facts")
+    mart = materialize(spec.mart_direct(facts, standins.advisories(spark, sf_dir)), f"{root}/mart")
+    return reconcile.measure_mismatches(facts, mart, spec.group_key, spec.group_key, spec.checks)
 
 
 @register("gate_gold_findings", base.gold_gate_sql(
