@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 
 import regex
 from pyspark.sql import DataFrame
@@ -23,10 +24,12 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import map_texts, texts_of
 
 #: Pieces whose encoding a task remembers; a bound on memory, not on the work.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 ENDLESS = 1 << 60
-#: A space at the start or after white space.
-SPACED = regex.compile(r"(?:^|\s) |\s$").search
+#: Bytes of a piece's beginning whose last tokens are remembered for other pieces.
+HEAD = 7
+#: White space beside white space.
+BESIDE = re.compile(r"\s\s").search
 #: Fixed value: the split pattern whose pieces hold white space only in front.
 LEADING_SPACE = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                  r"|\s+(?!\S)|\s+")
@@ -52,9 +55,12 @@ class BytePairs:
         self.spelled = {rank: token for token, rank in ranks.items()}
         self._follows: dict[int, bool] = {}
         self._borders: dict[tuple[int, bool], list[tuple[bytes, int]]] = {}
+        self._heads: dict[bytes, tuple[list[tuple[int, int]], int]] = {}
         self._grow()
-        self._piece_ids = _Known(self._piece, 64)
-        self._word_ids = _Known(self._word, 32)
+        self._piece_ids = _Known(self._piece, 64, REMEMBERED // 4)
+        self._first_ids = _Known(self._split, 32, REMEMBERED // 8)
+        self._word_ids = _Known(self._word, 32, REMEMBERED)
+        self._line_end = f" {ranks.get(b'\n')} "
 
     def _grow(self) -> None:
         """A tree of the tokens' bytes with, for each node, the node of its longest proper
@@ -126,28 +132,36 @@ class BytePairs:
             self._follows[left << 32 | right] = answer
         return answer
 
-    def extend(self, piece: bytes, last: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """Complete ``last``: (rank, length) of the last token of each prefix of ``piece``."""
+    def _walk(self, piece: bytes, start: int, node: int, last: list[tuple[int, int]] | None
+              ) -> int:
+        """Go on through ``piece`` from ``start``, where the tree stands at ``node``, adding the
+        last tokens of the prefixes that end after it; without ``last`` only the node moves."""
         child, suffix, ends, known = self._child, self._suffix, self._ends, self._follows
-        node, done = 0, len(last)
-        for end in range(max(0, done - self.longest), len(piece)):
+        for end in range(start, len(piece)):
             byte = piece[end]
             nxt = child.get(node << 8 | byte)
             while nxt is None:
                 node = suffix[node]
                 nxt = child.get(node << 8 | byte)
             node = nxt
-            if end < done:
+            if last is None:
                 continue
             for token in ends[node]:
-                start = end - token[1]
-                if start < 0:
+                begin = end - token[1]
+                if begin < 0:
                     break
-                before = last[start][0]
+                before = last[begin][0]
                 fits = known.get(before << 32 | token[0])
                 if fits or fits is None and self.follows(before, token[0]):
                     break
             last.append(token)
+        return node
+
+    def extend(self, piece: bytes, last: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Complete ``last``: (rank, length) of the last token of each prefix of ``piece``."""
+        done = len(last)
+        node = self._walk(piece[:done], max(0, done - self.longest), 0, None)
+        self._walk(piece, done, node, last)
         return last
 
     @staticmethod
@@ -162,7 +176,18 @@ class BytePairs:
         return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        return self.tokens(self.extend(piece, []))
+        # Pieces that begin alike share the tokens of that beginning.
+        head = piece[:HEAD]
+        last, node = self._heads.get(head, (None, 0))
+        if last is None:
+            last = []
+            node = self._walk(head, 0, 0, last)
+            if len(self._heads) < REMEMBERED // 4:
+                self._heads[head] = last, node
+        if len(piece) > HEAD:
+            last = last.copy()
+            self._walk(piece, HEAD, node, last)
+        return self.tokens(last)
 
     def _piece(self, piece: str) -> str:
         return " ".join(map(str, self.encode_piece(piece.encode())))
@@ -171,17 +196,24 @@ class BytePairs:
         return " ".join(map(self._piece_ids.__getitem__, self.pieces(text)))
 
     def _word(self, word: str) -> str:
-        return self._split(" " + word)
+        pieces = self.pieces(" " + word)
+        if len(pieces) == 1:  # what the word remembers need not be remembered twice
+            return self._piece(pieces[0])
+        return " ".join(map(self._piece_ids.__getitem__, pieces))
+
+    def _line(self, line: str) -> str:
+        first, *words = line.split(" ")
+        found = list(map(self._word_ids.__getitem__, words))
+        return " ".join([self._first_ids[first], *found])
 
     def encode_text(self, text: str) -> str:
         """Token ids of a text in decimal, separated by one space."""
-        # A piece holds white space only in front, so one begins at each space that
-        # follows another character; what lies between two of these splits alone.
-        if self._own_words and not SPACED(text):
-            words = text.split(" ")
-            first = self._split(words[0])
-            rest = " ".join(map(self._word_ids.__getitem__, words[1:]))
-            return f"{first} {rest}" if first and rest else first or rest
+        # A piece holds one space in front or is white space alone. So where white space
+        # stands singly, a line end is a piece, one begins at each space, and what lies
+        # between splits alone.
+        if (self._own_words and text and not text[0].isspace() and not text[-1].isspace()
+                and not BESIDE(text)):
+            return self._line_end.join(map(self._line, text.split("\n")))
         return self._split(text)
 
     def encode(self, text: str) -> list[int]:
@@ -195,12 +227,12 @@ class _Known(dict):
     """Remembers what a function gave for short texts; when full it takes no more, as
     frequent ones come early."""
 
-    def __init__(self, find, longest: int):
-        self.find, self.longest = find, longest
+    def __init__(self, find, longest: int, most: int):
+        self.find, self.longest, self.most = find, longest, most
 
     def __missing__(self, text: str) -> str:
         found = self.find(text)
-        if len(self) < REMEMBERED and len(text) <= self.longest and "\n" not in text:
+        if len(self) < self.most and len(text) <= self.longest:
             self[text] = found
         return found
 
