@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_dir
 
 #: Bytes of text worked on at once inside a task; one longer text is a part of its own.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
