@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.llm.common import stored
+
 #: How a turn is written; what the assistant says runs from the end of the head on.
 HEAD = ("<|im_start|>", "\n")
 TAIL = "<|im_end|>\n"
@@ -70,7 +72,7 @@ def answers_exchanged(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     chosen; with the last answer of the neighbouring conversation (id with the lowest bit
     turned) in that place it is rejected. Conversations without such a neighbour have none.
     """
-    rows = turns(table)
+    rows = stored(turns(table), "turns")
     last = rows.filter(F.col("role") == TRAINED).groupBy("pair_id").agg(
         F.max(F.struct("turn", "nth", "text")).alias("last")).select(
         "pair_id", F.col("last.turn").alias("last_turn"), F.col("last.nth").alias("last_nth"),
@@ -78,8 +80,8 @@ def answers_exchanged(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     other = last.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"),
                         F.col("answer").alias("other"))
     ends = last.join(other, "pair_id").select("pair_id", "last_turn", "last_nth", "other")
-    used = rows.join(ends, "pair_id").filter(
-        F.struct("turn", "nth") <= F.struct(F.col("last_turn"), F.col("last_nth")))
+    used = stored(rows.join(ends, "pair_id").filter(
+        F.struct("turn", "nth") <= F.struct(F.col("last_turn"), F.col("last_nth"))), "answered")
     final = (F.col("turn") == F.col("last_turn")) & (F.col("nth") == F.col("last_nth"))
     columns = ["pair_id", "turn", "nth", "role", "text"]
     return used.select(columns), used.withColumn(
