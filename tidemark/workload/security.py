@@ -97,10 +97,10 @@ FROM (SELECT e.cve_id IS NOT NULL AND m.cve_id IS NOT NULL AS ok_key,
       FULL JOIN cve_mart m ON e.cve_id = m.cve_id) AS compared""",
     base.FINDINGS, base.ADVISORIES, base.CVE_MART))
 def reconcile_mart_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts and mart are written once; what was written is compared."""
+    """Facts are written once, for the mart and for what it is compared with."""
     spec, root = domain_spec("security"), shared_dir(spark, "reconcile-findings")
     facts = materialize(standins.scan_findings(spark, sf_dir), f"{root}/facts")
-    mart = materialize(spec.mart_direct(facts, standins.advisories(spark, sf_dir)), f"{root}/mart")
+    mart = spec.mart_direct(facts, standins.advisories(spark, sf_dir))
     return reconcile.measure_mismatches(facts, mart, spec.group_key, spec.group_key, spec.checks)
 
 
