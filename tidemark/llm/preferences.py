@@ -40,24 +40,21 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     ``turns``. ``part`` is prompt, chosen or rejected; the code points of ``segment`` from
     ``mask_from`` up to ``mask_to`` are trained on, none where these are null.
     """
-    said = F.struct("role", "text")
-    both = chosen.withColumn("side", F.lit("chosen")).unionByName(
-        rejected.withColumn("side", F.lit("rejected")))
-    laid = both.groupBy("pair_id", "turn", "nth").agg(
-        F.max(F.when(F.col("side") == "chosen", said)).alias("chosen"),
-        F.max(F.when(F.col("side") == "rejected", said)).alias("rejected"))
-    differ = ~F.col("chosen").eqNullSafe(F.col("rejected"))
-    ends = laid.filter(differ).groupBy("pair_id").agg(
+    # Turns are compared by 128 bits of hash, so that texts move only to be labelled.
+    narrow = [side.select(
+        "pair_id", "turn", "nth", F.lit(i).alias("side"),
+        F.struct(F.xxhash64("role", "text"), F.xxhash64(F.lit(1), "text", "role")).alias("said"))
+        for i, side in enumerate((chosen, rejected))]
+    laid = narrow[0].unionByName(narrow[1]).groupBy("pair_id", "turn", "nth").agg(
+        *[F.max(F.when(F.col("side") == i, F.col("said"))).alias(f"said{i}") for i in (0, 1)])
+    ends = laid.filter(~F.col("said0").eqNullSafe(F.col("said1"))).groupBy("pair_id").agg(
         F.min(F.struct("turn", "nth")).alias("end"))
-    known = laid.join(ends, "pair_id", "left")
     before = F.col("end").isNull() | (F.struct("turn", "nth") < F.col("end"))
-    sides = F.when(before, F.array(F.struct(F.lit("prompt").alias("part"),
-                                            F.col("chosen").alias("said")))).otherwise(
-        F.array(F.struct(F.lit("chosen").alias("part"), F.col("chosen").alias("said")),
-                F.struct(F.lit("rejected").alias("part"), F.col("rejected").alias("said"))))
-    rows = known.select("pair_id", "turn", "nth", F.explode(sides).alias("x")).filter(
-        F.col("x.said").isNotNull()).select(
-        "pair_id", "x.part", "turn", "nth", "x.said.role", "x.said.text")
+    columns = ["pair_id", "part", "turn", "nth", "role", "text"]
+    rows = chosen.join(ends, "pair_id", "left").withColumn(
+        "part", F.when(before, "prompt").otherwise("chosen")).select(columns).unionByName(
+        rejected.join(ends, "pair_id").filter(~before).withColumn(
+            "part", F.lit("rejected")).select(columns))
     head = F.concat(F.lit(HEAD[0]), F.col("role"), F.lit(HEAD[1]))
     trained = (F.col("part") != "prompt") & (F.col("role") == TRAINED)
     segment = F.concat(head, F.col("text"), F.lit(TAIL))
