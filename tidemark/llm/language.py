@@ -39,6 +39,9 @@ PIECE_CHARS = 400
 LETTERS = 94
 SEGMENT = 1024
 LANES = 4096
+#: From so many pieces on, a tenth of them stays out to see what unseen text costs; with
+#: fewer each piece is read against the others.
+ENOUGH_PIECES = 20
 #: A text whose best language costs more bits a symbol than this many times the
 #: language's own unseen text is not in a learned language.
 REJECT_AT = 2.2
@@ -132,9 +135,9 @@ class LanguageModel:
         held: list[list[np.ndarray]] = []
         for name in self.names:
             pieces = self.samples[name]
-            # A tenth of the pieces stays out, to see what unseen text costs.
-            unseen = pieces[::10] if len(pieces) >= 20 else pieces
-            seen = [p for i, p in enumerate(pieces) if len(pieces) < 20 or i % 10]
+            enough = len(pieces) >= ENOUGH_PIECES
+            unseen = pieces[::10] if enough else []
+            seen = [p for i, p in enumerate(pieces) if not enough or i % 10]
             read = np.concatenate([self._squeeze(p) for p in seen])[:SAMPLE_CHARS]
             steps = suffix_automaton(read.tolist())
             self.cost.append(np.log2(max(2, len(read))))
@@ -156,12 +159,38 @@ class LanguageModel:
         self.table = np.concatenate(
             [t + np.int32(4 * o) for t, o in zip(tables, offsets)]).ravel()
         self.cost = np.array(self.cost)
-        for i, texts in enumerate(held):
-            bits = self._bits(texts)[:, i]
-            if len(bits):
-                self.usual[i] = max(0.5, float(np.median(bits)))
+        well = [i for i, name in enumerate(self.names)
+                if len(self.samples[name]) >= ENOUGH_PIECES]
+        for i in well:
+            self.usual[i] = max(0.5, float(np.median(self._bits(held[i])[:, i])))
+        others = [float(np.median(self.usual[well]))] if well else []
+        for i in sorted({*range(len(self.names))} - {*well}):
+            # Pieces that are near copies of each other cost less than other text of their
+            # language does, so what is usual elsewhere counts too.
+            self.usual[i] = max([0.5, self._left_out(self.samples[self.names[i]]), *others])
         return self
 
+    def _left_out(self, pieces: list[str]) -> float:
+        """Median bits a symbol of each of a few pieces against the others; of one piece, the
+        halves against each other."""
+        texts = [self._squeeze(p) for p in pieces]
+        if len(texts) == 1:
+            texts = np.array_split(texts[0], 2)
+        bits = []
+        for i, text in enumerate(texts):
+            read = np.concatenate([t for k, t in enumerate(texts) if k != i])
+            steps = suffix_automaton(read.tolist())
+            state, count = 0, 1
+            for symbol in text.tolist():
+                into = steps[state].get(symbol)
+                if into is None:
+                    into = steps[0].get(symbol)
+                    count += 1 if into is not None else 2
+                    into = into or 0
+                state = into
+            bits.append(count * np.log2(max(2, len(read))) / max(1, len(text)))
+        return float(np.median(bits))
+
     def _squeeze(self, text: str) -> np.ndarray:
         codes = self.symbol[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
         keep = codes != 0
