@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bytepair, compression, curriculum, language, minhash, preferences, sanitise, simhash,
-    toxicity, warc,
+    bytepair, compression, curriculum, jaccard, language, merkle, minhash, preferences, sanitise,
+    simhash, toxicity, variants, warc,
 )
 from tidemark.llm.common import remainder
 
@@ -104,3 +104,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query("op11_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spelling forms of every word of the documents."""
+    return variants.variants(_table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle", merkle.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verdict of every document in the manifest's tree."""
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+@query("op13_jaccard", jaccard.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document by exact similarity of shingle sets."""
+    return jaccard.linked_documents(_table(spark, sf_dir, "documents"))
