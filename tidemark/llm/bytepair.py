@@ -21,10 +21,16 @@ import re
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import map_texts, texts_of
-
-#: Pieces whose encoding a task remembers; a bound on memory, not on the work.
-REMEMBERED = 600_000
+from tidemark.llm.common import held_by_worker, map_texts, texts_of
+
+#: Bytes of what a task remembers of words, pieces, beginnings and pairs of tokens; a bound
+#: on memory, not on the work. All of it is dropped when the task ends.
+WORD_BYTES = 48 << 20
+PIECE_BYTES = 24 << 20
+HEAD_BYTES = 16 << 20
+PAIR_BYTES = 32 << 20
+#: What an entry takes beside its text, about.
+ENTRY_BYTES = 200
 ENDLESS = 1 << 60
 #: Bytes of a piece's beginning whose last tokens are remembered for other pieces.
 HEAD = 7
@@ -57,11 +63,18 @@ class BytePairs:
         self._borders: dict[tuple[int, bool], list[tuple[bytes, int]]] = {}
         self._heads: dict[bytes, tuple[list[tuple[int, int]], int]] = {}
         self._grow()
-        self._piece_ids = _Known(self._piece, 64, REMEMBERED // 4)
-        self._first_ids = _Known(self._split, 32, REMEMBERED // 8)
-        self._word_ids = _Known(self._word, 32, REMEMBERED)
+        self._piece_ids = _Known(self._piece, 64, PIECE_BYTES)
+        self._first_ids = _Known(self._split, 32, PIECE_BYTES)
+        self._word_ids = _Known(self._word, 32, WORD_BYTES)
         self._line_end = f" {ranks.get(b'\n')} "
 
+    def forget(self) -> None:
+        """Drop what has been remembered of the texts seen."""
+        for known in (self._piece_ids, self._first_ids, self._word_ids):
+            known.forget()
+        for known in (self._follows, self._heads, self._borders):
+            known.clear()
+
     def _grow(self) -> None:
         """A tree of the tokens' bytes with, for each node, the node of its longest proper
         suffix and the tokens (rank, length) that its bytes end with, longest first."""
@@ -127,7 +140,7 @@ class BytePairs:
                 and rank < ENDLESS
                 for a, a_until in self._border(left, True)
                 for b, b_until in self._border(right, False))
-            if len(self._follows) >= 4 * REMEMBERED:
+            if len(self._follows) * ENTRY_BYTES // 2 >= PAIR_BYTES:
                 self._follows.clear()
             self._follows[left << 32 | right] = answer
         return answer
@@ -182,7 +195,7 @@ class BytePairs:
         if last is None:
             last = []
             node = self._walk(head, 0, 0, last)
-            if len(self._heads) < REMEMBERED // 4:
+            if len(self._heads) * ENTRY_BYTES * 2 < HEAD_BYTES:
                 self._heads[head] = last, node
         if len(piece) > HEAD:
             last = last.copy()
@@ -224,18 +237,23 @@ class BytePairs:
 
 
 class _Known(dict):
-    """Remembers what a function gave for short texts; when full it takes no more, as
-    frequent ones come early."""
+    """Remembers what a function gave for short texts; when ``room`` bytes are full it takes
+    no more, as frequent ones come early."""
 
-    def __init__(self, find, longest: int, most: int):
-        self.find, self.longest, self.most = find, longest, most
+    def __init__(self, find, longest: int, room: int):
+        self.find, self.longest, self.room, self.left = find, longest, room, room
 
     def __missing__(self, text: str) -> str:
         found = self.find(text)
-        if len(self) < self.most and len(text) <= self.longest:
+        if self.left > 0 and len(text) <= self.longest:
             self[text] = found
+            self.left -= ENTRY_BYTES + len(text) + len(found)
         return found
 
+    def forget(self) -> None:
+        self.clear()
+        self.left = self.room
+
 
 class EditableText:
     """An encoded text that can be appended to and edited.
@@ -317,6 +335,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 back_digest.append(hashlib.sha256(vocabulary.decode_text(ids)).hexdigest())
             return {"doc_id": batch.column("doc_id"), "n_tokens": n,
                     "ids_sha256": ids_digest, "decoded_sha256": back_digest}
+        work.done = vocabulary.forget
         return work
     return map_texts(texts_of(docs), SCHEMA, make)
 
@@ -327,19 +346,16 @@ def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def make():
         vocabulary = worker_vocabulary(ranks, pattern)
-        return lambda batch: {
-            "doc_id": batch.column("doc_id"),
-            "ids": [vocabulary.encode(t) for t in batch.column("text").to_pylist()]}
-    return map_texts(texts_of(docs), "doc_id bigint, ids array<int>", make)
 
-
-_WORKER: dict[tuple[int, int, str], BytePairs] = {}
+        def work(batch):
+            return {"doc_id": batch.column("doc_id"),
+                    "ids": [vocabulary.encode(t) for t in batch.column("text").to_pylist()]}
+        work.done = vocabulary.forget
+        return work
+    return map_texts(texts_of(docs), "doc_id bigint, ids array<int>", make)
 
 
 def worker_vocabulary(ranks, pattern: str) -> BytePairs:
     """One vocabulary for the tasks that a Python worker runs one after another."""
     key = (len(ranks.value), hash(frozenset(list(ranks.value.items())[-64:])), pattern)
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = BytePairs(ranks.value, pattern)
-    return _WORKER[key]
+    return held_by_worker(key, lambda: BytePairs(ranks.value, pattern))

@@ -84,22 +84,38 @@ def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
     """Apply a function of record batches to parts of bounded size.
 
     ``make`` runs once a task and returns the function, which gives a dictionary
-    of the output columns, in the order of ``schema``.
+    of the output columns, in the order of ``schema``. If the function has an attribute
+    ``done``, that is called when the task ends.
     """
     fields = df.sparkSession.createDataFrame([], schema).schema
     types = [(f.name, _arrow(f.dataType.simpleString())) for f in fields]
 
     def run(batches):
         work = make()
-        for batch in batches:
-            for part in parts(batch, column, limit):
-                out = work(part)
-                yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v := out[n], pa.Array) else pa.array(v, t)
-                     for n, t in types], names=[n for n, _ in types])
+        try:
+            for batch in batches:
+                for part in parts(batch, column, limit):
+                    out = work(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [v if isinstance(v := out[n], pa.Array) else pa.array(v, t)
+                         for n, t in types], names=[n for n, _ in types])
+        finally:
+            getattr(work, "done", lambda: None)()
     return map_batches(df, run, schema)
 
 
+_HELD: list[tuple] = []
+
+
+def held_by_worker(key, build: Callable):
+    """What ``build`` gives, for all tasks that a Python worker runs one after another. A
+    worker holds one such value at a time."""
+    if not _HELD or _HELD[0][0] != key:
+        _HELD[:] = []
+        _HELD[:] = [(key, build())]
+    return _HELD[0][1]
+
+
 def _arrow(name: str) -> pa.DataType:
     plain = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),
              "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
