@@ -140,9 +140,11 @@ def test_phrases_are_longest_matches():
     codes = [model._squeeze(t) for t in texts]
     got = model.phrases(codes)
     for i, name in enumerate(model.names):
-        pieces = [p for k, p in enumerate(model.samples[name]) if k % 10]
-        sample = bytes(np.concatenate([model._squeeze(p) for p in pieces])[:language.SAMPLE_CHARS])
+        pieces = model.samples[name]
+        sample = bytes(np.concatenate([model._squeeze(p) for p in pieces])[:language.SAMPLE_CHARS]
+                       .astype(np.uint8))
         for k, code in enumerate(codes):
+            code = code.astype(np.uint8)
             # The last phrase of a segment ends with it and is not counted.
             whole = plain_phrases(code, sample)
             assert abs(int(got[k, i]) - whole) <= 1 + len(code) // language.SEGMENT, (k, name)
