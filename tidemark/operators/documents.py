@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import col, is_blank
 from tidemark.sources.sinks import read_if_present
@@ -28,26 +29,51 @@ def parse_html(pages: DataFrame, html: str = "html", parsed: str = "parsed") ->
         status.alias("error_status"))).drop("__elements")
 
 
+#: Bytes of file content that are parsed before what came of them is handed on.
+PARSE_BYTES = 8 << 20
+
+
 def parse_binary(files: DataFrame, parser: Callable[[bytes], Sequence[str]],
-                 content: str = "content", parsed: str = "parsed") -> DataFrame:
+                 content: str = "content", parsed: str = "parsed",
+                 most: int = PARSE_BYTES) -> DataFrame:
     """``parsed`` from file bytes by a supplied parser; ``content`` is left behind.
 
     The parser turns one file into its text elements; an exception becomes the
-    row's ``error_status`` and never fails the job. Files go to Python a hundred at
-    a time and only what was parsed comes back, so memory does not follow the
-    ten thousand rows of an Arrow batch.
+    row's ``error_status`` and never fails the job. Files reach Python in Arrow batches
+    that the session bounds in bytes (``spark.sql.execution.arrow.maxBytesPerBatch``), and
+    a batch is parsed and handed on in parts of ``most`` bytes or one larger file, so
+    memory does not follow the ten thousand rows that a batch may have.
     """
+    names = [c for c in files.columns if c != content]
+    schema = T.StructType([*(files.schema[c] for c in names),
+                           T.StructField(parsed, T.DataType.fromDDL(PARSED_SCHEMA))])
+    kind = pa.struct([
+        ("document", pa.struct([("elements", pa.list_(pa.struct([("content", pa.string())])))])),
+        ("error_status", pa.string())])
+
     def parse_one(raw: bytes | None) -> dict:
         elements, status = [], None
         try:
-            elements = [{"content": text} for text in parser(bytes(raw))] if raw else []
+            elements = [{"content": text} for text in parser(raw)] if raw else []
             status = None if elements else ("no text" if raw else "no content")
         except Exception as error:  # the row reports it; the job goes on
             status = type(error).__name__
         return {"document": {"elements": elements}, "error_status": status}
 
-    parse = F.udf(parse_one, PARSED_SCHEMA, useArrow=False)
-    return files.withColumn(parsed, parse(col(content))).drop(content)
+    def run(batches):
+        for batch in batches:
+            raws = batch.column(content)
+            begin, held = 0, 0
+            for i in range(batch.num_rows):
+                held += len(raws[i].as_buffer() or b"") if raws[i].is_valid else 0
+                if held >= most or i == batch.num_rows - 1:
+                    part = batch.slice(begin, i + 1 - begin)
+                    done = [parse_one(raws[k].as_py()) for k in range(begin, i + 1)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(n) for n in names), pa.array(done, kind)],
+                        names=[*names, parsed])
+                    begin, held = i + 1, 0
+    return files.mapInArrow(run, schema)
 
 
 def parsed_text(parsed: str = "parsed") -> Column:
@@ -89,18 +115,24 @@ def classify(docs: DataFrame, profiles: Sequence[LabelProfile], text: str = "par
              output: str = "doc_class", fallback: str | None = None) -> DataFrame:
     """Adds exactly one label per document, from its whole text alone.
 
-    The label with the highest weighted term count wins; ties go to the label
-    that sorts first, so every run predicts the same. Blank text gets NULL, and
-    text without any term ``fallback``, or without one the label that sorts first.
+    The label with the highest weighted term count wins; a label may have several
+    profiles, which add up. Ties go to the label that sorts first, so every run predicts
+    the same. Blank text gets NULL, and text without any term ``fallback``, or without
+    one the label that sorts first; without profiles all text gets ``fallback``.
     The text is split once, and only tokens that are a term are scored per label.
     """
-    ordered = sorted(profiles, key=lambda p: p.label)
-    every_term = sorted({t for p in ordered for t in p.terms})
+    by_label: dict[str, list[LabelProfile]] = {}
+    for profile in sorted(profiles, key=lambda p: p.label):
+        by_label.setdefault(profile.label, []).append(profile)
+    if not by_label:
+        return docs.withColumn(output, F.when(~is_blank(text), F.lit(fallback).cast("string")))
+    every_term = sorted({t for p in profiles for t in p.terms})
     scored = docs.withColumn("__tokens", tokens(text, every_term))
     candidates = F.array(*[
-        F.struct((term_hits(F.col("__tokens"), p.terms) * p.weight).alias("score"),
-                 F.lit(-i).alias("rank"), F.lit(p.label).alias("label"))
-        for i, p in enumerate(ordered)])
+        F.struct(sum((term_hits(F.col("__tokens"), p.terms) * p.weight for p in of[1:]),
+                     term_hits(F.col("__tokens"), of[0].terms) * of[0].weight).alias("score"),
+                 F.lit(-i).alias("rank"), F.lit(label).alias("label"))
+        for i, (label, of) in enumerate(by_label.items())])
     best = F.array_max(candidates)["label"]
     if fallback is not None:
         best = F.when(F.array_max(candidates)["score"] > 0, best).otherwise(F.lit(fallback))

@@ -39,6 +39,21 @@ def binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
             .load(path))
 
 
+#: What a binary scan gives, which a stream has to be told.
+BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def new_binary_files(spark: SparkSession, path: str, glob: str = "*",
+                     max_files: int | None = None) -> DataFrame:
+    """Raw files below ``path`` as a stream: each run of the stream takes the files that came
+    since, ``max_files`` at a time."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", glob))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path)
+
+
 def bronze_documents(files: DataFrame) -> DataFrame:
     """Raw files as document rows; the parent folder is the shipped class."""
     return files.select(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -16,33 +18,45 @@ from tidemark.functions.columns import col, is_blank
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Replace a catalog table with ``df``, schema included, and read it back.
 
-    A second run leaves the same state. The new rows are written to a folder of
-    their own first; only then does the name move to them, so a write that fails
-    leaves the old table as it was. ``path`` names the (shared) folder that holds
-    the table's versions instead of the session's warehouse; the version that the
-    name left is removed.
+    A second run leaves the same state. The new rows are written to a version folder of
+    their own first; only then does the name move to them, so a write that fails leaves the
+    old table as it was. While the schema stays the same the name moves in one catalog
+    change and is never missing; a new schema drops the name and creates it again. ``path``
+    names the (shared) folder that holds the table's versions, else they lie in the
+    session's warehouse. The version that the name left is removed. A managed table of
+    that name is replaced.
     """
     spark = df.sparkSession
-    if path is None:
-        following = f"{name}__next"
-        spark.sql(f"DROP TABLE IF EXISTS {following}")
-        df.write.format("parquet").saveAsTable(following)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
-        return spark.table(name)
-    version = f"{path}/version-{uuid.uuid4().hex}"
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-versions"
+    version = f"{base}/version-{uuid.uuid4().hex}"
     df.write.parquet(version)
-    before = None
-    if spark.catalog.tableExists(name):
-        before = {r["col_name"]: r["data_type"] for r in
-                  spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}.get("Location")
-        spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
-    spark.catalog.createTable(name, version, "parquet", df.schema)
-    if before and f"{path.split(':')[-1].rstrip('/')}/version-" in before:
-        remove_folder(before)
+    before = _location(spark, name)
+    ours = before is not None and f"{base.split(':')[-1].rstrip('/')}/version-" in before
+    written = spark.read.parquet(version).schema
+    if ours and spark.table(name).schema == written:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table's files stay
+        spark.catalog.createTable(name, version, "parquet", df.schema)
+    for old in _versions(base) - {version.rsplit("/", 1)[1]}:
+        remove_folder(f"{base}/{old}")
     return spark.table(name)
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    return {r["col_name"]: r["data_type"] for r in
+            spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}.get("Location")
+
+
+def _versions(base: str) -> set[str]:
+    store, place = fs.FileSystem.from_uri(base)
+    return {info.base_name for info in store.get_file_info(
+        fs.FileSelector(place, allow_not_found=True)) if info.base_name.startswith("version-")}
+
+
 def remove_folder(path: str) -> None:
     """Remove a written folder that nothing reads any more; one that is gone is fine."""
     store, place = fs.FileSystem.from_uri(path)
@@ -62,6 +76,38 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_files(df: DataFrame, root: str, path: str = "path", content: str = "content") -> DataFrame:
+    """Write each row's ``content`` (text or bytes; null: an empty file) to the file ``path``
+    below ``root``, and return path and length of what was written.
+
+    A task writes its rows one by one, under hidden names that are moved into place, so
+    readers see whole files; a task that runs again leaves the same files. ``root`` is
+    shared storage that Arrow's file systems reach. The listing is a written table beside
+    the files.
+    """
+    def run(batches):
+        store, place = fs.FileSystem.from_uri(root)
+        known: set[str] = set()
+        for batch in batches:
+            sizes = []
+            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = raw.as_buffer() if raw.is_valid else b""
+                target = f"{place}/{name.lstrip('/')}"
+                folder, own = target.rsplit("/", 1)
+                if folder not in known:
+                    store.create_dir(folder)
+                    known.add(folder)
+                hidden = f"{folder}/.{own}.{uuid.uuid4().hex}"
+                with store.open_output_stream(hidden, compression=None) as stream:
+                    stream.write(data)
+                store.move(hidden, target)
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64())], names=["path", "length"])
+    rows = df.select(col(path).cast("string").alias("path"), col(content).cast("binary").alias("content"))
+    return materialize(rows.mapInArrow(run, "path string, length bigint"), f"{root}-listing")
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None where nothing was written yet.
 
@@ -106,27 +152,73 @@ class PrimaryKeyError(ValueError):
 
 def publish_snapshot(df: DataFrame, key: Sequence[str], path: str,
                      source: str | None = None) -> DataFrame:
-    """Write a full serving copy, then prove its primary key on the written rows.
-
-    The proof reads only the key columns of the copy, so the mart itself is
-    computed once. ``source`` names what is published; it is kept beside the copy.
+    """Publish a full serving copy below ``path`` and read it.
+
+    The copy is written to a version folder of its own and its primary key is proven on the
+    written rows; only then does one small pointer file name it. Readers follow the pointer
+    (``served_copy``), so a copy that fails leaves the one before, and so does a publisher
+    that dies. The version before the current one stays for readers that have begun; older
+    ones and a refused one are removed. The proof reads only the key columns, so the mart
+    itself is computed once. ``source`` names what is published. One publisher at a time.
     """
-    served = materialize(df, path)
-    if source is not None:
-        df.sparkSession.createDataFrame([(source,)], "source string").write.mode(
-            "overwrite").parquet(f"{path}-source")
+    version = f"version-{uuid.uuid4().hex}"
+    served = materialize(df, f"{path}/{version}")
     violations = (served.groupBy(*[col(k) for k in key]).count()
                   .agg(F.count_if((F.col("count") > 1) | _any_blank(key)).alias("n"))
                   .first()["n"])
     if violations:
+        remove_folder(f"{path}/{version}")
         raise PrimaryKeyError(f"{violations} key(s) of {list(key)} are blank or repeated")
+    before = _pointers(path)
+    number = before[-1][0] + 1 if before else 0
+    _write_pointer(path, number, {"version": version, "source": source})
+    for old, entry in before[:-1]:
+        remove_folder(f"{path}/{entry['version']}")
+        _remove_pointer(path, old)
     return served
 
 
+def served_copy(spark: SparkSession, path: str) -> DataFrame | None:
+    """The copy that is published below ``path``; None before the first."""
+    known = _pointers(path)
+    return spark.read.parquet(f"{path}/{known[-1][1]['version']}") if known else None
+
+
 def published_source(spark: SparkSession, path: str) -> str | None:
-    """What the copy at ``path`` was published from; None if that is not known."""
-    kept = read_if_present(spark, f"{path}-source")
-    return None if kept is None else kept.first()["source"]
+    """What the copy below ``path`` was published from; None if that is not known."""
+    known = _pointers(path)
+    return known[-1][1]["source"] if known else None
+
+
+_POINTERS = "_pointers"
+
+
+def _pointers(path: str) -> list[tuple[int, dict]]:
+    """Number and content of each pointer, in order. There are two at most, or three while
+    a publisher tidies up."""
+    store, place = fs.FileSystem.from_uri(path)
+    found = store.get_file_info(fs.FileSelector(f"{place}/{_POINTERS}", allow_not_found=True))
+    out = []
+    for info in found:
+        if info.type == fs.FileType.File and info.base_name.isdigit():
+            with store.open_input_stream(info.path) as stream:
+                out.append((int(info.base_name), json.loads(stream.readall())))
+    return sorted(out, key=lambda x: x[0])
+
+
+def _write_pointer(path: str, number: int, entry: dict) -> None:
+    """A pointer appears whole, under its final name, or not at all."""
+    store, place = fs.FileSystem.from_uri(path)
+    store.create_dir(f"{place}/{_POINTERS}")
+    hidden = f"{place}/{_POINTERS}/.{uuid.uuid4().hex}"
+    with store.open_output_stream(hidden) as stream:
+        stream.write(json.dumps(entry).encode())
+    store.move(hidden, f"{place}/{_POINTERS}/{number:012d}")
+
+
+def _remove_pointer(path: str, number: int) -> None:
+    store, place = fs.FileSystem.from_uri(path)
+    store.delete_file(f"{place}/{_POINTERS}/{number:012d}")
 
 
 def _any_blank(key: Sequence[str]):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import text as text_functions
-from tidemark.operators import documents as docs_ops, integrity
+from tidemark.operators import documents as docs_ops, integrity, profiles
 from tidemark.operators.documents import FieldRule
 from tidemark.plans import standins
 from tidemark.plans.gates import silver_gate
@@ -133,19 +133,36 @@ def _replace_all(expr: str, steps) -> str:
     return expr
 
 
-def _parsed_sql() -> str:
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _decoded_sql(expr: str) -> str:
+    """Character references decoded piece by piece, as ``decode_references`` does."""
+    names = ", ".join(f"{_quoted(k)}: {_quoted(v)}"
+                      for k, v in sorted(text_functions.reference_names().items()))
+    point = """CASE WHEN regexp_matches(n, '^#[xX]') THEN CAST('0x' || substr(n, 3) AS BIGINT)
+      WHEN n LIKE '#%' THEN CAST(substr(n, 2) AS BIGINT) END"""
+    char = f"""coalesce(MAP {{{names}}}[CASE WHEN n LIKE '#%' THEN '#' || CAST(({point}) AS VARCHAR) ELSE n END],
+      CASE WHEN ({point}) BETWEEN 1 AND 1114111 AND NOT ({point}) BETWEEN 55296 AND 57343
+           THEN chr(CAST(({point}) AS INTEGER)) WHEN ({point}) IS NOT NULL THEN chr(65533) END)"""
+    piece = f"list_transform([regexp_extract(p, '{text_functions.REFERENCE}', 1)], lambda n: " \
+            f"coalesce({char} || substr(p, length(n) + 2), '&' || p))[1]"
+    return f"""list_transform(string_split({expr}, '&'), lambda p, i:
+      CASE WHEN i = 1 THEN p ELSE {piece} END)"""
+
+
+def _parsed_sql(pages: str = "pages") -> str:
     hidden = _replace_all("html", [(p, "' '") for p in text_functions.HIDDEN_BLOCKS])
     blocks = _replace_all(hidden, [(text_functions.BLOCK_TAG, "chr(10)"),
                                    (text_functions.ANY_TAG, "''")])
-    for entity, char in text_functions.ENTITIES:
-        blocks = f"replace({blocks}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
-    entity_safe = blocks.replace("'&#39;'", "'&#39;'")
-    text = _replace_all(entity_safe, [(text_functions.BLANKS, "' '")])
+    text = _replace_all(f"array_to_string({_decoded_sql(blocks)}, '')",
+                        [(text_functions.BLANKS, "' '")])
     return f"""
 parsed AS (
   SELECT page_id, list_filter(list_transform(string_split({text}, chr(10)), lambda b: trim(b, ' ')),
                               lambda b: b <> '') AS elements
-  FROM pages)"""
+  FROM {pages})"""
 
 
 PARSED = _parsed_sql()
@@ -172,6 +189,45 @@ def parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("page_count"))
 
 
+# Pages as other software writes them: references by name, number and hexadecimal number, ones
+# that are no reference, an ampersand that is written out; and pages with nothing to read.
+_WRITTEN = ((" et ", " &eacute;t&#233; &#8217;&#xE9;&laquo;&#x1F600;&nbsp;"), (" de ", " &amp;lt; &#150;&#xD800; "),
+            (" in ", " &bogus; &copy2; & &amp;&euro "), (" und ", " &#0;&#1114112;&hellip;&zwj; "))
+_EMPTY, _BLANK, _ABSENT = ".example.org/de/", ".example.org/en/", ".example.org/fr/"
+
+
+def written_pages(pages: DataFrame) -> DataFrame:
+    html, url = F.col("html"), F.col("url")
+    for word, written in _WRITTEN:
+        html = F.replace(html, F.lit(word), F.lit(written))
+    return pages.select("page_id", F.when(url.contains(_EMPTY), F.lit("")).when(
+        url.contains(_BLANK), F.lit("<p> </p><!-- -->")).when(
+        url.contains(_ABSENT), F.lit(None)).otherwise(html).alias("html"))
+
+
+def _written_sql() -> str:
+    html = "html"
+    for word, written in _WRITTEN:
+        html = f"replace({html}, '{word}', '{written}')"
+    return f"""
+written AS (
+  SELECT page_id, CASE WHEN contains(url, '{_EMPTY}') THEN '' WHEN contains(url, '{_BLANK}')
+    THEN '<p> </p><!-- -->' WHEN contains(url, '{_ABSENT}') THEN NULL ELSE {html} END AS html
+  FROM pages),{_parsed_sql("written")}"""
+
+
+@register("parse_written_pages", base.with_ctes(
+    """SELECT w.page_id, CASE WHEN w.html IS NULL OR trim(w.html) = '' THEN 'no content'
+    WHEN len(p.elements) = 0 THEN 'no text' END AS outcome,
+  COALESCE(array_to_string(p.elements, chr(10)), '') AS parsed_text
+FROM written w JOIN parsed p ON p.page_id = w.page_id""", _written_sql()))
+def parse_written_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with references of every kind, and some that are empty, blank or absent."""
+    parsed = docs_ops.parse_html(written_pages(table(spark, sf_dir, "pages")))
+    return parsed.select("page_id", F.col("parsed.error_status").alias("outcome"),
+                         docs_ops.parsed_text().alias("parsed_text"))
+
+
 @register("variant_fields", """SELECT event_id, CAST(props->>'k' AS BIGINT) AS k,
   (props->>'missing') IS NULL AS absent FROM events""")
 def variant_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,16 +251,67 @@ def parse_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- classify --------------------------------------------------------------------
-@register("classify_docs", base.with_ctes("SELECT doc_id, doc_class FROM silver", SILVER))
+LEARNED = rf"""
+labelled AS (
+  SELECT doc_id, lang AS label, text,
+         list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}]+'), lambda t: t <> '') AS words
+  FROM documents WHERE text IS NOT NULL AND trim(text) <> ''),
+counts AS (
+  SELECT label, term, COUNT(*) AS docs
+  FROM (SELECT label, unnest(list_distinct(words)) AS term FROM labelled WHERE label IS NOT NULL)
+  GROUP BY label, term),
+sizes AS (SELECT label, COUNT(*) AS size, SUM(COUNT(*)) OVER () AS total
+          FROM labelled WHERE label IS NOT NULL GROUP BY label),
+rated AS (
+  SELECT label, term, docs, (SELECT COUNT(*) FROM range(1, {profiles.MOST + 1}) AS steps(i)
+    WHERE inside >= outside * pow(2.0, i)) AS weight
+  FROM (SELECT c.label, c.term, c.docs, CAST(docs + 1 AS DOUBLE) * (total - size + 2) AS inside,
+          CAST(SUM(docs) OVER (PARTITION BY c.term) - docs + 1 AS DOUBLE) * (size + 2) AS outside
+        FROM counts c JOIN sizes s ON s.label = c.label) AS odds),
+profiles AS (
+  SELECT label, term, weight FROM rated WHERE weight > 0
+  QUALIFY row_number() OVER (PARTITION BY label ORDER BY docs * weight DESC, term) <= {profiles.TERMS}),
+scores AS (
+  SELECT w.doc_id, p.label, SUM(p.weight) AS score
+  FROM (SELECT doc_id, unnest(words) AS term FROM labelled) w JOIN profiles p ON p.term = w.term
+  GROUP BY w.doc_id, p.label),
+predicted AS (
+  SELECT d.doc_id, d.lang AS source_class, CASE WHEN d.text IS NULL OR trim(d.text) = '' THEN NULL
+    ELSE coalesce(b.label, (SELECT lang FROM documents WHERE lang IS NOT NULL
+                            GROUP BY lang ORDER BY COUNT(*) DESC, lang LIMIT 1)) END AS doc_class
+  FROM documents d LEFT JOIN (
+    SELECT * FROM scores
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1) b
+    ON b.doc_id = d.doc_id)"""
+
+
+def learned_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.learn_profiles(standins.document_rows(spark, sf_dir))
+
+
+def predicted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents classified by profiles learned from the folders they were shipped in."""
+    rows = standins.document_rows(spark, sf_dir)
+    return docs_ops.classify(rows, profiles.collected(learned_profiles(spark, sf_dir)),
+                             fallback=profiles.most_frequent(rows))
+
+
+@register("class_profiles", base.with_ctes("SELECT label, term, weight FROM profiles", LEARNED))
+def class_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The terms that tell the folders apart, with their weights."""
+    return learned_profiles(spark, sf_dir)
+
+
+@register("classify_docs", base.with_ctes("SELECT doc_id, doc_class FROM predicted", LEARNED))
 def classify_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_documents(spark, sf_dir).select("doc_id", "doc_class")
+    return predicted_documents(spark, sf_dir).select("doc_id", "doc_class")
 
 
 @register("class_confusion", base.with_ctes(
-    """SELECT source_class, doc_class, COUNT(*) AS row_count FROM silver
-GROUP BY source_class, doc_class ORDER BY source_class, doc_class""", SILVER))
+    """SELECT source_class, doc_class, COUNT(*) AS row_count FROM predicted
+GROUP BY source_class, doc_class ORDER BY source_class, doc_class""", LEARNED))
 def class_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.count_by(silver_documents(spark, sf_dir), "source_class", "doc_class")
+    return integrity.count_by(predicted_documents(spark, sf_dir), "source_class", "doc_class")
 
 
 @register("allowed_values", base.with_ctes(
