@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import col
+from tidemark.operators.sequence import numbered
 from tidemark.sources.files import (
     CHANGE_COLUMNS, CHANGE_LSN, CHANGE_ORDER, CHANGE_TIME, CHANGE_TYPE, CHANGE_XID,
     change_log, select_contract,
@@ -15,6 +16,7 @@ from tidemark.sources.files import (
 DELETE = "delete"
 _IMAGE = "__image"
 _TIE = "__tie"
+_NUMBER = "__number"
 
 
 def latest_images(log: DataFrame, keys: str | Sequence[str],
@@ -67,17 +69,24 @@ def current_state(log: DataFrame, keys: str | Sequence[str],
         latest_images(narrow, names, tie_break).where(is_live()), wanted)
 
 
-def synthesize_log(snapshot: DataFrame, sequence: Column,
-                   change_time: Column | None = None) -> DataFrame:
+def synthesize_log(snapshot: DataFrame, sequence: Column | None = None,
+                   change_time: Column | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Snapshot -> change log in which every row is an ``insert``.
 
     ``sequence`` supplies the log position; a column of the data keeps the log
-    the same on every run and needs no ordering pass over the rows.
+    the same on every run and needs no ordering pass over the rows. Without one
+    the position is the row's number, from 1, in the order of the columns ``order``,
+    which no single task has to see (``operators.sequence``).
     """
+    if sequence is None:
+        if not order:
+            raise ValueError("a log needs a sequence, or columns that order its rows")
+        snapshot = numbered(snapshot, [col(c) for c in order], _NUMBER)
+        sequence = F.col(_NUMBER) + 1
     position = sequence.cast("bigint")
     stamp = F.current_timestamp() if change_time is None else change_time
     return snapshot.select(
-        *[col(c) for c in snapshot.columns],
+        *[col(c) for c in snapshot.columns if c != _NUMBER],
         F.lit("insert").alias(CHANGE_TYPE),
         position.alias(CHANGE_LSN),
         F.lit(None).cast("int").alias(CHANGE_XID),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import col, exact_avg, exact_sum
+from tidemark.operators.distincts import with_distincts
 
 
 def enrich(facts: DataFrame, documents: DataFrame, group_key: str, document_key: str,
@@ -50,6 +51,16 @@ class Mean:
         return exact_avg(df, self.column)
 
 
+@dataclass(frozen=True)
+class Different:
+    """How many different values a column has."""
+
+    column: str
+
+    def over(self, df: DataFrame) -> Column:
+        return F.count_distinct(col(self.column))
+
+
 @dataclass(frozen=True)
 class Mart:
     """Grain, measures and attributes of a business-key mart.
@@ -61,7 +72,7 @@ class Mart:
     """
 
     group_key: str
-    measures: tuple[tuple[str, Column | Total | Mean], ...]
+    measures: tuple[tuple[str, Column | Total | Mean | Different], ...]
     attributes: tuple[str, ...] = ()
     fact_attributes: tuple[str, ...] = ()
     picked: tuple[tuple[str, str, str], ...] = ()
@@ -82,10 +93,15 @@ class Mart:
         row order. Both sides end up partitioned by the key that joins them. Facts
         without a business key, which the gate rejects, keep their measures and get
         no attributes. Where the key hardly repeats, nothing collapses, and all is
-        aggregated in one pass.
+        aggregated in one pass. More than one distinct count is taken apart too.
         """
+        counted = {name: m.column for name, m in self.measures if isinstance(m, Different)}
+        if len(counted) > 1:
+            rest = replace(self, measures=tuple(
+                (n, m) for n, m in self.measures if n not in counted))
+            return with_distincts(rest.totals(df, attributes), df, [self.group_key], counted)
         key = col(self.group_key)
-        measures = [(m.over(df) if isinstance(m, (Total, Mean)) else m).alias(name)
+        measures = [(m.over(df) if isinstance(m, (Total, Mean, Different)) else m).alias(name)
                     for name, m in self.measures]
         texts = [F.max(col(a)).alias(a) for a in attributes]
         texts += [F.max(F.struct(col(by), col(text)))[text].alias(name)

@@ -10,6 +10,7 @@ the dimensions and measures asked for:
 * when one branch is needed and nothing is counted distinct, the rows are first
   aggregated by its key, which collapses a hot key on the map side; with more
   branches the keys together are nearly as many as the rows;
+* more than one distinct count is taken from narrow stacked values, not from copied rows;
 * composed measures are evaluated after aggregation, at the query's own grain,
   those that others use first.
 """
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import col, from_limbs, is_blank, limbs, narrow_decimal
+from tidemark.operators.distincts import with_distincts
 
 
 #: A bounded table of at most so many rows is broadcast.
@@ -227,8 +229,13 @@ class MetricView:
                 f"__key_{join.name}", f"__on_{join.name}")
         rows = _filter(rows, filters, [d for d in all_dims if d.join is not None])
 
+        counted = {p.prefix: p.distinct_column for p in partials if p.distinct_column}
+        apart = len(counted) > 1 and bool(asked)
+        finals = [c for p in partials if not (apart and p.distinct_column) for c in p.finals()]
         grouped = rows.groupBy(*[col(d.name) for d in asked]).agg(
-            *([c for p in partials for c in p.finals()] or [F.count(F.lit(1)).alias("__rows")]))
+            *(finals or [F.count(F.lit(1)).alias("__rows")]))
+        if apart:
+            grouped = with_distincts(grouped, rows, [d.name for d in asked], counted)
         resolved = grouped.select(*[col(d.name) for d in asked],
                                   *[p.value().alias(p.measure.name) for p in partials])
         for measure in self._composed(measures):

@@ -10,7 +10,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.gold import Mart, Mean, Total, enrich, mart_from_detail, mart_from_source
+from tidemark.operators.gold import (
+    Different, Mart, Mean, Total, enrich, mart_from_detail, mart_from_source,
+)
+from tidemark.operators.incremental import Retractable
 from tidemark.operators.reconcile import MeasureCheck
 
 
@@ -65,7 +68,7 @@ def finance() -> DomainSpec:
             ("first_sale_date", F.min("sale_date")),
             ("last_sale_date", F.max("sale_date")),
             ("transaction_count", F.count("transaction_id")),
-            ("order_count", F.count_distinct("order_id")),
+            ("order_count", Different("order_id")),
             ("total_units", Total("units")),
             ("gross_sales", Total("gross_sales")),
             ("discount_amount", Total("discount_amount")),
@@ -112,8 +115,8 @@ def security() -> DomainSpec:
             ("first_scan_date", F.min("scan_date")),
             ("last_scan_date", F.max("scan_date")),
             ("finding_count", F.count("finding_id")),
-            ("scan_count", F.count_distinct("scan_id")),
-            ("affected_assets", F.count_distinct("asset_id")),
+            ("scan_count", Different("scan_id")),
+            ("affected_assets", Different("asset_id")),
             ("open_findings", _sum_if(F.col("status") == "Open")),
             ("critical_findings", _sum_if(F.col("severity") == "Critical")),
             ("remediation_hours", Total("remediation_hours")),
@@ -151,6 +154,18 @@ def itsm() -> DomainSpec:
         detail_document_match="incident_document_path", carry=carry, mart=mart, checks=())
 
 
+#: The measures of the finance mart in a form that can take facts back.
+FINANCE_RETRACTABLE = (
+    Retractable("first_sale_date", "low", "sale_date"),
+    Retractable("last_sale_date", "high", "sale_date"),
+    Retractable("transaction_count", "count", "transaction_id"),
+    Retractable("order_count", "distinct", "order_id"),
+    *[Retractable(name, "total", column) for name, column in (
+        ("total_units", "units"), *[(c, c) for c in (
+            "gross_sales", "discount_amount", "net_sales", "cost_of_goods", "gross_margin")])],
+    Retractable("average_discount_pct", "mean", "discount_pct"),
+)
+
 # Builders, as column expressions need a running session.
 DOMAINS = {"finance": finance, "security": security, "itsm": itsm}
 

@@ -8,10 +8,14 @@ wrote no number where the first number should be.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.documents import FieldRule
 from tidemark.plans.doc_contracts import CONTRACTS
+from tidemark.sources.files import binary_files, bronze_documents
+from tidemark.sources.sinks import write_files
 from tidemark.sources.tables import table
 
 # The market segments, which stand for the classes in order of name.
@@ -64,8 +68,10 @@ def _lines(rule: FieldRule, first: str | None) -> list[Column]:
     return [F.concat(label, _scalar(rule, first))]
 
 
-def landed_documents(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
-    """Path, filename, shipped class and content bytes of a domain's documents."""
+def landed_documents(spark: SparkSession, sf_dir: str, domain: str,
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """Path, filename, shipped class and content bytes of a domain's documents; ``keep``
+    names columns of the customer that stay beside them."""
     classes = class_of(domain)
     text, folder = F.lit(None).cast("string"), F.lit(None).cast("string")
     for segment, name in classes.items():
@@ -80,4 +86,19 @@ def landed_documents(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame
     return table(spark, sf_dir, "customer").select(
         F.concat(F.lit(f"/{domain}/"), folder, F.lit("/"), filename).alias("path"),
         filename.alias("filename"), folder.alias("source_class"),
-        F.encode(text, "UTF-8").alias("content"))
+        F.encode(text, "UTF-8").alias("content"), *keep)
+
+
+def write_documents(spark: SparkSession, sf_dir: str, domain: str, root: str) -> DataFrame:
+    """A domain's documents as files ``<root>/<class>/<filename>``; returns their listing."""
+    docs = landed_documents(spark, sf_dir, domain)
+    return write_files(docs.withColumn("place", F.concat_ws("/", "source_class", "filename")),
+                       root, "place")
+
+
+def scanned_documents(spark: SparkSession, root: str, domain: str) -> DataFrame:
+    """Documents of a domain as they are read from their files; paths are below the domain."""
+    bronze = bronze_documents(binary_files(spark, root, "*.txt"))
+    return bronze.withColumn("path", F.concat(
+        F.lit(f"/{domain}/"), F.concat_ws("/", "source_class", "filename"))).select(
+        "path", "filename", "source_class", "size_bytes", "content")

@@ -17,7 +17,7 @@ back to the last compaction but one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -103,9 +103,12 @@ class ChangeTarget:
 def apply_changes(stream: DataFrame, target: ChangeTarget, checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
     """Start applying ``stream`` to ``target``; by default all data there is, then stop."""
-    def body(batch: DataFrame, batch_id: int) -> None:
-        target.write_batch(batch, batch_id)
+    return each_batch(stream, target.write_batch, checkpoint, trigger)
 
+
+def each_batch(stream: DataFrame, body: Callable[[DataFrame, int], None], checkpoint: str,
+               trigger: dict | None = None) -> StreamingQuery:
+    """Start giving the batches of ``stream`` to ``body``, which may see one again."""
     return (stream.writeStream.foreachBatch(body)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))

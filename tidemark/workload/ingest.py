@@ -123,6 +123,16 @@ def cdc_synthesize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(log.select("o_orderkey", "o_custkey", "o_orderstatus", *files.CHANGE_COLUMNS))
 
 
+@register("cdc_synthesize_numbered", """SELECT o_orderkey, o_custkey, n AS _pg_lsn, n AS _sort_by
+FROM (SELECT o_orderkey, o_custkey,
+        ROW_NUMBER() OVER (ORDER BY o_orderdate, o_custkey, o_orderkey) AS n FROM orders) AS numbered""")
+def cdc_synthesize_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log without a given sequence: rows are numbered in the order of their dates."""
+    log = cdc.synthesize_log(table(spark, sf_dir, "orders"),
+                             order=("o_orderdate", "o_custkey", "o_orderkey"))
+    return log.select("o_orderkey", "o_custkey", files.CHANGE_LSN, files.CHANGE_ORDER)
+
+
 @register("cdc_roundtrip", """SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right,
   COUNT(*) AS rows_compared FROM orders""")
 def cdc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

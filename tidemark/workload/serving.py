@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import portable
-from tidemark.operators import cdc, serving
+from tidemark.operators import cdc, gold, serving
+from tidemark.operators.incremental import IncrementalMart
+from tidemark.plans import standins
+from tidemark.plans.domains import FINANCE_RETRACTABLE
 from tidemark.plans.gates import serving_gate
 from tidemark.session import shared_dir
 from tidemark.sources import files, sinks
-from tidemark.streaming.apply import ChangeTarget, apply_changes, file_stream
+from tidemark.streaming.apply import ChangeTarget, apply_changes, each_batch, file_stream
 from tidemark.workload import base
 from tidemark.workload.finance import contract_mart, report
 from tidemark.workload.registry import register
@@ -52,6 +55,31 @@ def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         publish(spark, sf_dir)[1].select(*_SERVED), "contract_id", 100))
 
 
+@register("serving_refused", base.with_ctes(
+    """SELECT CAST(1 AS BIGINT) AS step, 'published' AS action, COUNT(*) AS served_rows FROM contract_mart
+UNION ALL SELECT 2, 'refused', COUNT(*) FROM contract_mart
+UNION ALL SELECT 3, 'refused', COUNT(*) FROM contract_mart
+UNION ALL SELECT 4, 'published', COUNT(*) FROM contract_mart WHERE contract_customer_name IS NOT NULL""",
+    *_CONTRACTS))
+def serving_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy with repeated or blank keys is refused and the one before stays readable."""
+    path = f"{shared_dir(spark, 'refused')}/served"
+    mart = sinks.materialize(contract_mart(spark, sf_dir).select(*_SERVED),
+                             shared_dir(spark, "refused-mart"))
+    known = mart.where("contract_customer_name IS NOT NULL")
+    blank = mart.withColumn("contract_id", F.when(
+        F.col("contract_customer_name").isNotNull(), F.col("contract_id")))
+    steps = []
+    for number, copy in enumerate((mart, mart.unionByName(known), blank, known), 1):
+        try:
+            sinks.publish_snapshot(copy, ["contract_id"], path)
+            action = "published"
+        except sinks.PrimaryKeyError:
+            action = "refused"
+        steps.append((number, action, sinks.served_copy(spark, path).count()))
+    return spark.createDataFrame(steps, "step bigint, action string, served_rows bigint")
+
+
 _PARITY_SQL = """SELECT COUNT(*) AS source_rows, COUNT(*) AS served_rows,
   COUNT(*) - COUNT(DISTINCT contract_id) AS bad_keys, CAST(0 AS BIGINT) AS key_differences, COUNT(*) > 0 AS passed
 FROM contract_mart"""
@@ -90,6 +118,61 @@ def serving_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(target.current(spark, _SERVED))
 
 
+_MEASURED_SQL = """SELECT contract_id, first_sale_date, last_sale_date, transaction_count, order_count,
+  total_units, CAST(gross_sales AS DOUBLE) AS gross_sales,
+  CAST(discount_amount AS DOUBLE) AS discount_amount, CAST(net_sales AS DOUBLE) AS net_sales,
+  CAST(cost_of_goods AS DOUBLE) AS cost_of_goods, CAST(gross_margin AS DOUBLE) AS gross_margin,
+  average_discount_pct, contract_customer_name FROM contract_mart"""
+
+
+def sales_batches(sales: DataFrame) -> list[DataFrame]:
+    """A change log of the sales in three batches, after which all but one channel are left.
+
+    First all sales but those of a channel, the high-priority ones at the neighbouring
+    contract and for half their units. Then corrections of these, the channel that was
+    missing, and the deletion of another channel. Last, old versions that arrive late, and
+    one channel's rows once more as they are.
+    """
+    high, low = F.col("sales_channel") == "2-HIGH", F.col("sales_channel") == "5-LOW"
+    wrong = sales.withColumns({
+        "contract_id": F.when(high, F.col("contract_id") + 1).otherwise(F.col("contract_id")),
+        "order_id": F.when(high, F.concat("order_id", F.lit("?"))).otherwise(F.col("order_id")),
+        "sale_date": F.when(high, F.date_sub("sale_date", 4000)).otherwise(F.col("sale_date")),
+        "units": F.when(high, F.expr("units div 2")).otherwise(F.col("units"))})
+    gone = cdc.synthesize_log(sales.where("sales_channel = '3-MEDIUM'"), F.lit(3)).withColumn(
+        files.CHANGE_TYPE, F.lit("delete"))
+    return [
+        cdc.synthesize_log(wrong.where(~low), F.lit(1)),
+        cdc.synthesize_log(sales.where(high | low), F.lit(3)).unionByName(gone),
+        cdc.synthesize_log(wrong.where(high), F.lit(2)).unionByName(
+            cdc.synthesize_log(sales.where("sales_channel = '1-URGENT'"), F.lit(4)))]
+
+
+def incremental_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract mart as it stands after three batches of changes."""
+    root = shared_dir(spark, "incremental")
+    sales = sinks.materialize(standins.sales_transactions(spark, sf_dir), f"{root}/sales")
+    batches = sales_batches(sales)
+    mart = IncrementalMart(f"{root}/mart", batches[0].schema, "transaction_id", "contract_id",
+                           FINANCE_RETRACTABLE, compact_every=2)
+    for batch in batches:  # what has landed is applied before more lands
+        batch.write.mode("append").parquet(f"{root}/feed")
+        stream = file_stream(spark, f"{root}/feed", batch.schema)
+        each_batch(stream, mart.apply, f"{root}/checkpoint").awaitTermination()
+    return mart.current(spark)
+
+
+@register("mart_incremental", base.with_ctes(
+    _MEASURED_SQL, base.SALES.replace("ON o_orderkey = l_orderkey)", "ON o_orderkey = l_orderkey\n"
+                                      "  WHERE o_orderpriority <> '3-MEDIUM')"),
+    base.AGREEMENTS, base.CONTRACT_MART))
+def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After inserts, moved keys, deletes and late events: the mart of the facts that are left."""
+    mart = incremental_sales(spark, sf_dir)
+    return report(gold.enrich(mart, standins.agreements(spark, sf_dir), "contract_id", "agreement_id",
+                              {"contract_customer_name": "customer_name"}))
+
+
 @register("serving_kpis", base.with_ctes(
     """SELECT COUNT(*) AS row_count, CAST(22 AS BIGINT) AS column_count, 'cvss_score' AS metric,
   CAST(SUM(cvss_score) AS DOUBLE) / COUNT(cvss_score) AS metric_mean FROM cve_mart""", *_CVES))
