@@ -114,6 +114,27 @@ def test_a_publisher_that_dies_before_the_pointer_changes_nothing(spark, tmp_pat
     assert sinks.served_copy(spark, path).count() == 3
 
 
+# -- buckets ---------------------------------------------------------------------
+def test_bucketed_facts_are_not_exchanged(spark, sf_dir):
+    from tidemark.plans.domains import domain_spec
+    from tidemark.workload.finance import bucketed_sales
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    sales, agreements = bucketed_sales(spark, sf_dir)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        spec = domain_spec("finance")
+        for out in (spec.detail(sales, agreements), spec.mart_direct(sales, agreements)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+            assert out.count() > 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # -- learned profiles ------------------------------------------------------------
 def test_a_class_that_is_only_in_the_data_is_predicted(spark):
     words = {"de": "der die und nicht", "en": "the and of not", "xx": "zorg blim quax frob"}

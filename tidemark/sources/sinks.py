@@ -57,6 +57,22 @@ def _versions(base: str) -> set[str]:
         fs.FileSelector(place, allow_not_found=True)) if info.base_name.startswith("version-")}
 
 
+def bucketed_table(df: DataFrame, name: str, key: str, path: str, buckets: int) -> DataFrame:
+    """A catalog table whose rows lie in ``buckets`` files by the hash of ``key``, sorted by it.
+
+    Tables with the same number of buckets join and aggregate by their key without an
+    exchange: the rows were dealt once, when they were written. A key that holds a third of
+    all rows makes one bucket that large, so such tables are joined unbucketed, where
+    adaptive execution splits it. ``path`` is a new folder in shared storage.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # Dealt like the buckets, so a task writes one file for each of its buckets.
+    (df.repartition(buckets, col(key)).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def remove_folder(path: str) -> None:
     """Remove a written folder that nothing reads any more; one that is gone is fine."""
     store, place = fs.FileSystem.from_uri(path)

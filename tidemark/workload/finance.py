@@ -12,7 +12,7 @@ from tidemark.plans.gates import bronze_transactions_gate, gold_gate
 from tidemark.session import shared_dir
 from tidemark.sources.files import select_contract
 from tidemark.sources.tables import table
-from tidemark.sources.sinks import materialize
+from tidemark.sources.sinks import bucketed_table, materialize
 from tidemark.workload import base
 from tidemark.workload.registry import register
 
@@ -91,6 +91,32 @@ def gold_detail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         standins.sales_transactions(spark, sf_dir), standins.agreements(spark, sf_dir)))
 
 
+BUCKETS = 32  # of the bronze tables; a cluster's would follow from their size
+
+
+def bucketed_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The transactions and the agreements as bronze tables in buckets of the contract."""
+    root = shared_dir(spark, "bucketed")
+    name = "bronze_" + root.rsplit("-", 1)[-1]
+    return (bucketed_table(standins.sales_transactions(spark, sf_dir), f"{name}_sales",
+                           "contract_id", f"{root}/sales", BUCKETS),
+            bucketed_table(standins.agreements(spark, sf_dir), f"{name}_agreements",
+                           "agreement_id", f"{root}/agreements", BUCKETS))
+
+
+@register("gold_detail_bucketed", base.with_ctes(_DETAIL_SQL, base.SALES, base.AGREEMENTS))
+def gold_detail_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales detail from bucketed bronze tables: no row is exchanged."""
+    return report(domain_spec("finance").detail(*bucketed_sales(spark, sf_dir)))
+
+
+@register("mart_bucketed", base.with_ctes(
+    _MART_SQL, base.SALES, base.AGREEMENTS, base.CONTRACT_MART))
+def mart_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract mart from bucketed bronze tables: no fact is exchanged."""
+    return report(domain_spec("finance").mart_direct(*bucketed_sales(spark, sf_dir)))
+
+
 @register("preview_contracts", base.with_ctes(
     """SELECT contract_id, contract_customer_name, transaction_count,
   CAST(net_sales AS DOUBLE) AS net_sales, CAST(gross_margin AS DOUBLE) AS gross_margin,
