@@ -94,7 +94,8 @@ NOTES = SILVER + f""",
 notes AS (
   SELECT path, filename, doc_class, {_first(EMAIL)} AS contact_email, {_first(PHONE)} AS contact_phone,
          {_first(ADDRESS)} AS host_address, TRY_CAST({_first(CARD)} AS BIGINT) AS card_number,
-         TRY_CAST({_first(VERSION)} AS DOUBLE) AS license_version, {_first(TOKEN)} AS raw_token
+         TRY_CAST({_first(VERSION)} AS DOUBLE) AS license_version, {_first(TOKEN)} AS raw_token,
+         {_first(CARD)} AS raw_card, {_first(VERSION)} AS raw_version
   FROM silver),
 strict_notes AS (
   SELECT *, TRY_CAST(raw_token AS BIGINT) AS token,
@@ -424,7 +425,9 @@ m AS (SELECT (SELECT COUNT(*) FROM silver) AS n,
   (SELECT {errors} FROM strict_notes) AS errors)""")
 
 
-@register("gate_silver", _silver_gate_sql("COUNT(*) - COUNT(*)"))
+@register("gate_silver", _silver_gate_sql("""COUNT(*) FILTER (
+    WHERE (raw_card IS NOT NULL AND card_number IS NULL)
+    OR (raw_version IS NOT NULL AND license_version IS NULL))"""))
 def gate_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_gate(spark, sf_dir, NOTE_CONTRACTS, "silver")
 
