@@ -2,7 +2,8 @@
 
 The base rules count words, symbols, repeated lines and repeated word windows. The
 bands compare Zstandard ratios (compressed bytes over bytes) with limits that
-depend on the length: of the whole text, and of fixed chunks. Text below its band
+depend on the length: of the whole text, and of fixed chunks, the last of which holds what is
+left over. Text below its band
 repeats itself, text above it is noise. A text goes if it is outside as a whole or
 if most of its full chunks are.
 
@@ -73,7 +74,7 @@ def band(size: int) -> tuple[float, float]:
 
 
 def measure(raw: bytes, compress) -> tuple[float, int, int, bool]:
-    """Ratio of the whole text, full chunks, those outside their band, and the verdict."""
+    """Ratio of the whole text, chunks, those outside their band, and the verdict."""
     if not raw:
         return 1.0, 0, 0, True
     ratio = len(compress(raw)) / len(raw)
@@ -81,8 +82,9 @@ def measure(raw: bytes, compress) -> tuple[float, int, int, bool]:
     outside = chunks = 0
     for start in range(0, len(raw) - CHUNK + 1, CHUNK):
         chunks += 1
-        part = len(compress(raw[start:start + CHUNK])) / CHUNK
-        outside += not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]
+        # What is left behind the last full chunk belongs to it.
+        part = raw[start:start + CHUNK] if len(raw) - start >= 2 * CHUNK else raw[start:]
+        outside += not CHUNK_BAND[0] <= len(compress(part)) / len(part) <= CHUNK_BAND[1]
     return ratio, chunks, outside, low <= ratio <= high and outside <= CHUNK_SHARE * chunks
 
 
