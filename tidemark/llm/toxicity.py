@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_texts, remainder, texts_of, word_starts
 
-#: Labelled documents of each class that are learned from, and characters of each.
+#: Labelled documents of each class that are learned from, each as a whole, and the length
+#: from which one is not drawn; together they bound what the driver holds.
 SAMPLE_ROWS = 2500
-SAMPLE_CHARS = 12_000
+LONGEST = 200_000
 SLOTS = 1 << 16
 WIDTH = 12
 FILTERS = 8
@@ -53,8 +54,9 @@ MOST_SLOTS = 2 * 5
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
-           chars: int = SAMPLE_CHARS) -> list[tuple[str, str | None, int]]:
-    """(text, lang, toxic) of at most ``rows`` labelled documents of each class, chosen by hash.
+           longest: int = LONGEST) -> list[tuple[str, str | None, int]]:
+    """(whole text, lang, toxic) of at most ``rows`` labelled documents of each class of at most
+    ``longest`` characters, chosen by hash.
 
     ``labels`` are the ones that may be learned from.
     """
@@ -62,15 +64,16 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
                            F.col("toxic").cast("int").alias("toxic"))
              .filter(F.col("id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.col("lang").cast("string").alias("lang")).filter(F.char_length("text") <= longest)
+    known = known.join(texts.select("id"), "id", "left_semi")
     drawn = None
     for kind in (0, 1):
         part = known.filter(F.col("toxic") == kind).orderBy(
             F.xxhash64("id", F.lit(5)), "id").limit(rows)
         drawn = part if drawn is None else drawn.unionByName(part)
-    texts = docs.select(
-        F.col("doc_id").cast("bigint").alias("id"),
-        F.left(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(chars)).alias("text"),
-        F.col("lang").cast("string").alias("lang"))
     # At most 2 * rows ids: small whatever the table's size.
     joined = texts.join(F.broadcast(drawn), "id").orderBy(
         F.xxhash64("id", "text"), "id").limit(2 * rows)
