@@ -2,25 +2,33 @@
 
 Base spans come from fixed patterns: e-mail addresses, IP addresses, payment cards
 with a valid check digit, phone numbers. Their values are the protected entities.
-Words near an entity are terms that may reveal it. Over the whole corpus the term's
-disclosure is the share of the entity's information that the term gives away:
+Words that stand beside an entity, within ``NEAR`` words in its line, are terms that may
+reveal it; pairs of all words and entities of a text would be too many. Over the whole
+corpus the term's disclosure is the share of the entity's information that the term gives
+away:
 
     PMI(term, entity) / IC(entity) = 1 + log2(n(term, entity) / n(term)) / IC(entity)
 
-with n(term) the documents that hold the term and IC(entity) = log2(documents /
-n(entity)). It is 1 for a term seen only beside the entity. Terms of high disclosure
-are removed, those below but over a lower limit are generalised; a term needs
-``SUPPORT`` different contexts, and copies of a context count once.
+with n(term) the documents that hold the term, n(term, entity) those in which it stands
+beside the entity, and IC(entity) = log2(documents / n(entity)); all are counted in
+documents, copies included, so a group of copies weighs alike on both sides. It is 1 for a
+term seen only beside the entity. Terms of high disclosure are removed, those below but over
+a lower limit are generalised; a term needs ``SUPPORT`` different contexts. What a term is
+rated holds wherever it stands: all its occurrences in all whole texts are spans, also in
+other lines and in documents without the entity.
 
 A null text is empty: no span. Rows that are equal in id and text get equal spans;
 rows of one id with different texts are kept apart by a hash of the text. Texts of
-any length are searched whole.
+any length are searched whole, and an entity costs no more in a text with many. Other
+columns, whatever their names, do not matter; an empty table gives no row.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +52,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = regex.compile(r"\p{L}+").finditer
 WORDS = regex.compile(r"\p{L}+").findall
 
+OCCURRENCES = "doc_id bigint, mark bigint, term string, start int, end int"
 #: Words on either side of an entity, in its line, that are its context.
 NEAR = 8
 SUPPORT = 3
@@ -58,8 +67,8 @@ REPLACED = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE
             "removed": "", "generalised": "[TERM]"}
 
 SCHEMA = ("doc_id bigint, mark bigint, n_email bigint, n_ip bigint, n_card bigint, "
-          "n_phone bigint, base string, entities array<bigint>, terms array<string>, "
-          "starts array<int>, ends array<int>, contexts array<bigint>")
+          "n_phone bigint, base string, owners array<bigint>, entities array<bigint>, terms array<string>, "
+          "contexts array<bigint>")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -114,13 +123,19 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [(kind, *s) for kind in KINDS[1:] for s in FINDERS[kind](text)]
 
 
+def entity_of(text: str, span: tuple[str, int, int]) -> int:
+    """The hash of what a span names."""
+    kind, a, b = span
+    value = text[a:b].lower() if kind == "email" else _digits(text[a:b])
+    return _signed(xxhash.xxh64_intdigest(f"{kind}:{value}".encode()))
+
+
 def context(text: str, spans: list[tuple[str, int, int]]):
-    """(entity, term, start, end, context) of words near each span in its line; words that
-    a span covers are none."""
-    taken = sorted((a, b) for _, a, b in spans)
+    """(entity, term, context) of words near each span in its line; words that a span covers
+    are none."""
+    covered = _cover(spans)
     for kind, a, b in spans:
-        value = text[a:b].lower() if kind == "email" else _digits(text[a:b])
-        entity = _signed(xxhash.xxh64_intdigest(f"{kind}:{value}".encode()))
+        entity = entity_of(text, (kind, a, b))
         # A window of characters bounds the search in lines without end.
         low = max(text.rfind("\n", 0, a) + 1, a - 40 * NEAR)
         high = text.find("\n", b)
@@ -128,12 +143,28 @@ def context(text: str, spans: list[tuple[str, int, int]]):
         before = [(m.start() + low, m.end() + low) for m in WORD(text[low:a])][-NEAR:]
         after = [(m.start() + b, m.end() + b) for m in WORD(text[b:high])][:NEAR]
         near = [(s, e) for s, e in before + after if e - s >= LEAST_LETTERS
-                and not any(s < y and x < e for x, y in taken)]
+                and not covered(s, e)]
         if near:
             words = [text[s:e].lower() for s, e in near]
             whole = _signed(xxhash.xxh64_intdigest(" ".join(words).encode()))
-            for (s, e), word in zip(near, words):
-                yield entity, word, s, e, whole
+            for word in words:
+                yield entity, word, whole
+
+
+def _cover(spans: list[tuple[str, int, int]]) -> Callable[[int, int], bool]:
+    """Whether some span overlaps an interval, by bisection."""
+    taken: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if taken and a < taken[-1][1]:
+            taken[-1] = taken[-1][0], max(taken[-1][1], b)
+        else:
+            taken.append((a, b))
+    begins = [a for a, _ in taken]
+
+    def covered(start: int, end: int) -> bool:
+        i = bisect_left(begins, end) - 1
+        return i >= 0 and taken[i][1] > start
+    return covered
 
 
 def _signed(value: int) -> int:
@@ -149,21 +180,68 @@ def find(docs: DataFrame) -> DataFrame:
     def make():
         def work(batch):
             out: dict[str, list] = {n: [] for n in (
-                "base", "entities", "terms", "starts", "ends", "contexts",
+                "base", "owners", "entities", "terms", "contexts",
                 *(f"n_{k}" for k in KINDS))}
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text)
                 for kind in KINDS:
                     out[f"n_{kind}"].append(sum(s[0] == kind for s in spans))
                 out["base"].append(",".join(f"{k}:{a}:{b}" for k, a, b in spans))
-                near = list(context(text, spans)) if spans else []
-                for i, name in enumerate(("entities", "terms", "starts", "ends", "contexts")):
+                out["owners"].append(sorted({entity_of(text, span) for span in spans}))
+                near = sorted(set(context(text, spans))) if spans else []
+                for i, name in enumerate(("entities", "terms", "contexts")):
                     out[name].append([row[i] for row in near])
             return {"doc_id": batch.column("doc_id"), "mark": batch.column("mark"), **out}
         return work
     return map_texts(texts_of(docs, _mark()), SCHEMA, make)
 
 
+def _marked_slots(docs: DataFrame, wanted: DataFrame):
+    """A shipped table of a fixed number of slots that says which words may be in ``wanted``
+    (term)."""
+    slots = np.zeros(SLOTS, bool)
+    slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).alias("slot")
+    # At most as many rows as there are slots come back.
+    slots[wanted.select(slot).distinct().toArrow().column("slot").to_numpy()] = True
+    return docs.sparkSession.sparkContext.broadcast(np.packbits(slots))
+
+
+def occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id``, ``mark``, ``term``, ``start`` and ``end`` of every occurrence of the words
+    in ``wanted`` (term), and of some others, in all whole texts, outside base spans."""
+    marked = _marked_slots(docs, wanted)
+
+    def make():
+        open_slots = np.unpackbits(marked.value).astype(bool)
+        known: dict[str, bool] = {}
+
+        def may_be(word: str) -> bool:
+            found = known.get(word)
+            if found is None:
+                if len(known) > REMEMBERED:
+                    known.clear()
+                found = known[word] = bool(
+                    open_slots[xxhash.xxh64_intdigest(word.encode(), 42) % SLOTS])
+            return found
+
+        def work(batch):
+            out: dict[str, list] = {n: [] for n in ("doc_id", "mark", "term", "start", "end")}
+            for doc_id, mark, text in zip(*(batch.column(c).to_pylist()
+                                            for c in ("doc_id", "mark", "text"))):
+                hits = {w for w in map(str.lower, set(WORDS(text))) if may_be(w)}
+                if not hits:
+                    continue
+                covered = _cover(base_spans(text))
+                for m in WORD(text):
+                    term = m[0].lower()
+                    if term in hits and not covered(*m.span()):
+                        for name, value in zip(out, (doc_id, mark, term, *m.span())):
+                            out[name].append(value)
+            return out
+        return work
+    return map_texts(texts_of(docs, _mark()), OCCURRENCES, make)
+
+
 def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``word`` and ``n``, the documents that hold it, for all words in ``wanted`` (term) and
     some others.
@@ -171,11 +249,7 @@ def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     A table of a fixed number of slots says which words are counted at all; every
     document is read. A task adds its documents up before anything is shuffled.
     """
-    slots = np.zeros(SLOTS, bool)
-    slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).alias("slot")
-    # At most as many rows as there are slots come back.
-    slots[wanted.select(slot).distinct().toArrow().column("slot").to_numpy()] = True
-    marked = docs.sparkSession.sparkContext.broadcast(np.packbits(slots))
+    marked = _marked_slots(docs, wanted)
 
     def run(batches):
         open_slots = np.unpackbits(marked.value).astype(bool)
@@ -211,21 +285,27 @@ def document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def revealing(found: DataFrame, docs: DataFrame, support: int = SUPPORT,
               remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """``entity``, ``term`` and ``kind`` of the terms that disclose an entity."""
-    near = found.filter(F.size("terms") > 0).select(F.explode(F.arrays_zip(
-        "entities", "terms", "contexts")).alias("x")).select(
+    each = F.explode(F.arrays_zip("entities", "terms", "contexts")).alias("x")
+    near = found.filter(F.size("terms") > 0).select(each).groupBy(
         F.col("x.entities").alias("entity"), F.col("x.terms").alias("term"),
-        F.col("x.contexts").alias("context")).distinct()
-    together = stored(near.groupBy("entity", "term").agg(F.count("*").alias("together"))
-                      .filter(F.col("together") >= support), "together")
+        F.col("x.contexts").alias("context")).agg(F.count("*").alias("times"))
+    supported = near.groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(
+        F.col("contexts") >= support).select("entity", "term")
+    supported = stored(supported, "supported")
     schema = "entity bigint, term string, kind string"
-    if together.isEmpty():
+    if supported.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
-    alone = near.select("entity", "context").distinct().groupBy("entity").agg(
-        F.count("*").alias("contexts"))
+    # Documents, each once, in which the pair stands together, and that hold the entity.
+    both = found.filter(F.size("terms") > 0).select(F.explode(F.array_distinct(
+        F.arrays_zip("entities", "terms"))).alias("x")).groupBy(
+        F.col("x.entities").alias("entity"), F.col("x.terms").alias("term")).agg(
+        F.count("*").alias("together"))
+    together = stored(both.join(supported, ["entity", "term"], "left_semi"), "together")
+    alone = found.select(F.explode(F.array_distinct("owners")).alias("entity")).groupBy(
+        "entity").agg(F.count("*").alias("holders"))
     counts = document_counts(docs, together)
     total = float(docs.count())
-    # Contexts are never more than documents count here: copies count once.
-    information = F.greatest(F.lit(1e-9), F.log2(F.lit(total) / F.col("contexts")))
+    information = F.greatest(F.lit(1e-9), F.log2(F.lit(total) / F.col("holders")))
     share = F.least(F.lit(1.0), F.col("together") / F.col("n"))
     joined = (together.join(counts, together["term"] == counts["word"]).drop("word")
               .join(alone, "entity")
@@ -240,13 +320,11 @@ def spans(docs: DataFrame, **limits) -> DataFrame:
     """One row per document: counts of base spans, their digest, and all spans."""
     found = stored(find(docs), "spans")
     terms = revealing(found, docs, **limits)
-    places = found.filter(F.size("terms") > 0).select("doc_id", "mark", F.explode(F.arrays_zip(
-        "entities", "terms", "starts", "ends")).alias("x"))
-    extra = (places.join(terms, (F.col("x.entities") == F.col("entity"))
-                         & (F.col("x.terms") == F.col("term")))
-             .groupBy("doc_id", "mark", F.col("x.starts").alias("start"),
-                      F.col("x.ends").alias("end"))
-             .agg(F.max("kind").alias("kind"))  # removed wins over generalised
+    rated = terms.groupBy("term").agg(F.max("kind").alias("kind"))  # removed wins
+    places = (occurrences(docs, rated) if not rated.isEmpty() else
+              docs.sparkSession.createDataFrame([], OCCURRENCES))
+    # Rows that are equal in id and text have equal places.
+    extra = (places.join(rated, "term").select("doc_id", "mark", "start", "end", "kind").distinct()
              .groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct(
                  F.when(F.col("kind") == TERM_KINDS[0], 0).otherwise(1).alias("nth"),
                  "start", "end", "kind"))).alias("more")))
