@@ -240,6 +240,38 @@ def test_terms_that_reveal_an_entity_go(spark):
     assert "Zebulon" not in clean[0] and "[EMAIL]" in clean[0] and clean[100] == rows[6][1]
 
 
+def test_a_revealing_term_goes_wherever_it_stands(spark):
+    rows = [(i, f"Zebulon spoke {samples.prose('en', 30, i)}\n{samples.prose('en', 9, 50 + i)} Zebulon "
+             f"zed@corp.example.com {samples.prose('en', 5, 70 + i)}", "en", "s", 0) for i in range(6)]
+    rows += [(10, "Here zebulon stands alone. " + samples.prose("en", 30, 9), "en", "s", 0)]
+    # One of the documents has been copied: both sides of the ratio count the copies.
+    rows += [(1000 + i, rows[0][1], "en", "s", 0) for i in range(60)]
+    rows += [(100 + i, samples.prose("en", 60, 100 + i), "en", "s", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, samples.SCHEMA)
+    clean = {r.doc_id: r.text for r in sanitise.sanitised(docs).collect()}
+    assert not any("zebulon" in t.lower() for t in clean.values())
+    assert all(clean[100 + i] == rows[67 + i][1] for i in range(400))
+    # The disclosure, recomputed from whole documents.
+    holders = {i for i, t, *_ in rows if "zed@corp" in t}
+    having = {i for i, t, *_ in rows if "zebulon" in t.lower()}
+    disclosure = 1 + np.log2(len(holders & having) / len(having)) / np.log2(len(rows) / len(holders))
+    found = sanitise.find(docs)
+    kinds = {r.term: r.kind for r in sanitise.revealing(found, docs).collect()}
+    assert disclosure >= sanitise.REMOVE and kinds == {"zebulon": "removed"}
+    kinds = {r.term: r.kind for r in sanitise.revealing(found, docs, remove=disclosure + 1e-9).collect()}
+    assert kinds == {"zebulon": "generalised"}
+    assert not sanitise.revealing(found, docs, remove=2.0, generalise=disclosure + 1e-9).count()
+
+
+def test_many_entities_in_one_text_cost_in_proportion():
+    import time
+    text = "\n".join(f"at 10.{i % 250}.{i // 250 % 250}.{i // 62500} host alpha beta" for i in range(200_000))
+    begun = time.process_time()
+    spans = sanitise.base_spans(text)
+    assert len(spans) == 200_000 and sum(1 for _ in sanitise.context(text, spans)) >= 600_000
+    assert time.process_time() - begun < 60
+
+
 def test_sanitised_rows_keep_columns(docs):
     out = sanitise.sanitised(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
@@ -334,6 +366,21 @@ def test_base_quality_equals_plain_counts(docs, empty):
     assert compression.quality(empty).count() == 0
 
 
+def test_the_end_of_a_text_is_judged():
+    import zstandard
+    compress = zstandard.ZstdCompressor(level=compression.LEVEL).compress
+    prose = samples.prose("en", 2000, 1).encode()[:compression.CHUNK]
+    tail = b"aaaa " * 700  # less than a chunk
+    assert compression.measure(prose, compress)[1:3] == (1, 0)
+    assert compression.measure(prose + prose[:500], compress)[1:3] == (1, 0)
+    noise = np.random.default_rng(1).bytes(compression.CHUNK - 1)
+    assert compression.measure(noise[:2000] * 2 + b"x" * 96 + noise, compress)[1] == 1
+    whole = len(compress(prose + tail)) / len(prose + tail)
+    ratio, chunks, outside, _ = compression.measure(prose + tail, compress)
+    low, high = compression.CHUNK_BAND
+    assert chunks == 1 and ratio == whole and outside == (not low <= whole <= high)
+
+
 def test_quality_of_odd_texts():
     import zstandard
     compress = zstandard.ZstdCompressor(level=3).compress
@@ -601,6 +648,65 @@ def test_prefix_is_rendered_once(spark):
     assert preferences.format_preferences(made[0].limit(0), made[1].limit(0)).count() == 0
 
 
+def plain_preferences(rows):
+    """(pair_id, part, turn, nth, role, text) of all turns, by plain loops."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        if conv is not None and turn is not None:
+            convs.setdefault(conv, []).append((turn, role or "user", text or ""))
+    for conv, said in convs.items():
+        seen = Counter()
+        convs[conv] = []
+        for turn, role, text in sorted(said):
+            seen[turn] += 1
+            convs[conv].append((turn, seen[turn], role, text))
+    answered = sorted(c for c, said in convs.items() if any(r == "assistant" for _, _, r, _ in said))
+    out = []
+    for conv, said in convs.items():
+        other = said
+        if conv in answered:
+            rank = answered.index(conv)
+            which = 0 if rank % 2 == 0 else -1
+            cut, start = ([r[:2] for r in convs[c] if r[2] == "assistant"][which]
+                          for c in (conv, answered[(rank + 1) % len(answered)]))
+            source = convs[answered[(rank + 1) % len(answered)]]
+            other = [r for r in said if r[:2] < cut] + [
+                (t - start[0] + cut[0], n - start[1] + cut[1] if t == start[0] else n, role, text)
+                for t, n, role, text in source if (t, n) >= start]
+        places = sorted({r[:2] for r in said} | {r[:2] for r in other})
+        at = {r[:2]: r[2:] for r in said}, {r[:2]: r[2:] for r in other}
+        parting = next((p for p in places if at[0].get(p) != at[1].get(p)), (float("inf"), 0))
+        out += [(conv, "prompt" if r[:2] < parting else "chosen", *r) for r in said]
+        out += [(conv, "rejected", *r) for r in other if r[:2] >= parting]
+    return sorted(out)
+
+
+CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
+
+
+@pytest.mark.parametrize("convs", [0, 1, 2, 9])
+def test_every_turn_of_every_conversation_is_there(spark, convs):
+    rng = np.random.default_rng(convs)
+    rows = []
+    for c in range(convs):  # sparse ids and turn numbers, later turns, repeated and null ones
+        turns = sorted(rng.choice(1000, int(rng.integers(1, 9)), replace=False).tolist())
+        rows += [(c * 7919 + 12, t, ["user", "assistant", None, "system"][int(rng.integers(4))],
+                  ["yes", "no", None, "é" * 300_000][int(rng.integers(4))]) for t in turns]
+    if convs == 9:
+        rows += [(3, 5, "user", "only asks"), (3, 6, "user", "again"), (None, 1, "user", "x"),
+                 (4, None, "assistant", "x"), (5, 1, "assistant", "a"), (5, 1, "assistant", "a"),
+                 (5, 1, "assistant", "b"), (5, 9, "user", "thanks")]
+    table = spark.createDataFrame(rows, CONVERSATIONS).select("*", *[
+        F.lit(None).cast("string").alias(c) for c in ("pair_id", "nth", "rank", "source", "its", "said0")])
+    got = sorted((r.pair_id, r.part, r.turn, r.nth, r.role,
+                  r.segment[len(f"<|im_start|>{r.role}\n"):-len("<|im_end|>\n")])
+                 for r in preferences.format_preferences(
+                     *preferences.answers_exchanged(table)).collect())
+    assert got == plain_preferences(rows)
+    kept = sum(r[0] is not None and r[1] is not None for r in rows)
+    assert sum(r[1] != "rejected" for r in got) == kept
+
+
 # --- toxicity ------------------------------------------------------------------------------
 
 def toxic_rows(n=240):
@@ -635,6 +741,38 @@ def test_toxicity_on_held_out_rows(spark, docs, empty):
     assert {r.score for r in toxicity.score(docs, blank).collect()} == {0.0}
 
 
+def test_learning_reads_whole_texts(spark):
+    rows = [(i, "calm " * (4000 if i < 4 else 20) + "end" + str(i), "en", "s", 0) for i in range(8)]
+    rows.append((8, "x" * 300_000, "en", "s", 0))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id bigint, toxic int")
+    drawn = toxicity.sample(samples.table(spark, rows), labels)
+    assert sorted(t[-4:] for t, _, _ in drawn) == [f"end{i}" for i in range(8)]  # the longest is not drawn
+    assert sum(len(t) > 12_000 for t, _, _ in drawn) == 4
+
+
+def test_forward_pass_equals_plain_loops():
+    rng = np.random.default_rng(3)
+    model = toxicity.Toxicity(np.zeros((4, toxicity.WIDTH), np.float32))
+    model.filters = {w: rng.normal(size=(w, toxicity.WIDTH, toxicity.FILTERS)).astype(np.float32)
+                     for w in toxicity.WIDTHS}
+    model.offset = {w: rng.normal(size=toxicity.FILTERS).astype(np.float32) for w in toxicity.WIDTHS}
+    model.layer = rng.normal(size=toxicity.FILTERS * len(toxicity.WIDTHS))
+    model.bias = 0.3
+    counts = np.array([5, 0, 1, 2, 7])
+    words = rng.normal(size=(counts.sum(), toxicity.WIDTH)).astype(np.float32)
+    got, at = model.logits(words, counts), 0
+    for n, logit in zip(counts, got):
+        text, at = words[at:at + n], at + n
+        pooled = []
+        for w in toxicity.WIDTHS:
+            for f in range(toxicity.FILTERS):
+                answers = [model.offset[w][f] + sum(  # past the end a filter sees nothing
+                    text[i + k] @ model.filters[w][k][:, f] for k in range(w) if i + k < n)
+                    for i in range(n)]
+                pooled.append(max(answers, default=-4.0))
+        assert np.isclose(logit, np.tanh(pooled) @ model.layer + 0.3, atol=1e-4)
+
+
 def test_training_repeats():
     rows, labels = toxic_rows(120)
     pairs = [(r[1], r[2], lab[2]) for r, lab in zip(rows, labels)]

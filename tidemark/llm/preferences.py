@@ -7,7 +7,9 @@ assistant says is trained on. Rows are segments, so no task gathers a conversati
 
 Null roles are ``user`` and null texts empty. Rows of one turn number stand one after
 another by role and text. Pairs whose conversations agree are all prompt. Rows without a
-pair or turn number belong to no conversation and are left out.
+pair or turn number belong to no conversation and are left out. Ids and turn numbers need
+not be dense. A text of any length is one segment; repeated rows are turns of their own;
+other columns, whatever their names, do not matter, and an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import stored
+from tidemark.operators.sequence import numbered
 
 #: How a turn is written; what the assistant says runs from the end of the head on.
 HEAD = ("<|im_start|>", "\n")
@@ -64,25 +67,59 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
         F.when(trained, F.char_length(segment)).cast("bigint").alias("mask_to"))
 
 
+def _answer_ends(rows: DataFrame) -> DataFrame:
+    """Where each conversation with an answer parts from its rejected side: ``pair_id``,
+    ``cut_turn``, ``cut_nth`` and ``source``, ``source_turn``, ``source_nth``, where the turns
+    come from that the rejected side goes on with.
+
+    Conversations with an answer are numbered by id. Even ones part at their first answer,
+    odd ones at their last; each goes on as the next one does from its own such answer, the
+    last as the first.
+    """
+    place = F.struct("turn", "nth")
+    answers = rows.filter(F.col("role") == TRAINED).groupBy("pair_id").agg(
+        F.min(place).alias("first"), F.max(place).alias("last"))
+    ranked = stored(numbered(answers, [F.col("pair_id")], "rank", (), None, "total"), "answers")
+
+    def place_of(even, name: str):
+        return F.when(even, F.col(f"first.{name}")).otherwise(F.col(f"last.{name}"))
+    even = F.col("rank") % 2 == 0
+    ends = ranked.select(
+        "pair_id", ((F.col("rank") + 1) % F.col("total")).alias("after"), even.alias("even"),
+        place_of(even, "turn").alias("cut_turn"), place_of(even, "nth").alias("cut_nth"))
+    following = ranked.select(F.col("rank").alias("after"), F.col("pair_id").alias("source"),
+                              "first", "last")
+    return ends.join(following, "after").select(
+        "pair_id", "cut_turn", "cut_nth", "source", place_of(F.col("even"), "turn").alias("source_turn"),
+        place_of(F.col("even"), "nth").alias("source_nth"))
+
+
 def answers_exchanged(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Preference pairs from plain conversations: a conversation up to its last answer is
-    chosen; with the last answer of the neighbouring conversation (id with the lowest bit
-    turned) in that place it is rejected. Conversations without such a neighbour have none.
+    """Preference pairs from plain conversations, all turns of which are chosen.
+
+    The rejected side is the conversation up to its first or last answer, then the next
+    conversation from such an answer on, with its turn numbers moved to follow. One
+    without an answer is its own rejected side, so all of it is prompt; so is a
+    conversation that has no other to go on with.
     """
     rows = stored(turns(table), "turns")
-    last = rows.filter(F.col("role") == TRAINED).groupBy("pair_id").agg(
-        F.max(F.struct("turn", "nth", "text")).alias("last")).select(
-        "pair_id", F.col("last.turn").alias("last_turn"), F.col("last.nth").alias("last_nth"),
-        F.col("last.text").alias("answer"))
-    other = last.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"),
-                        F.col("answer").alias("other"))
-    ends = last.join(other, "pair_id").select("pair_id", "last_turn", "last_nth", "other")
-    used = stored(rows.join(ends, "pair_id").filter(
-        F.struct("turn", "nth") <= F.struct(F.col("last_turn"), F.col("last_nth"))), "answered")
-    final = (F.col("turn") == F.col("last_turn")) & (F.col("nth") == F.col("last_nth"))
+    ends = stored(_answer_ends(rows), "ends")
     columns = ["pair_id", "turn", "nth", "role", "text"]
-    return used.select(columns), used.withColumn(
-        "text", F.when(final, F.col("other")).otherwise(F.col("text"))).select(columns)
+    own = ends.select(F.col("pair_id").alias("its"), "cut_turn", "cut_nth")
+    before = rows.join(own, rows["pair_id"] == own["its"], "left").filter(
+        F.col("its").isNull()
+        | (F.struct("turn", "nth") < F.struct(F.col("cut_turn"), F.col("cut_nth"))))
+    source = ends.select(F.col("pair_id").alias("target"), "cut_turn", "cut_nth",
+                         F.col("source").alias("from"), "source_turn", "source_nth")
+    moved = rows.join(source, rows["pair_id"] == source["from"]).filter(
+        F.struct("turn", "nth") >= F.struct(F.col("source_turn"), F.col("source_nth")))
+    after = moved.select(
+        F.col("target").alias("pair_id"),
+        (F.col("turn") - F.col("source_turn") + F.col("cut_turn")).alias("turn"),
+        F.when(F.col("turn") == F.col("source_turn"),
+               F.col("nth") - F.col("source_nth") + F.col("cut_nth"))
+        .otherwise(F.col("nth")).alias("nth"), "role", "text")
+    return rows.select(columns), before.select(columns).unionByName(after)
 
 
 ORACLE = """
@@ -91,24 +128,37 @@ WITH rows AS (
          row_number() OVER (PARTITION BY conv_id, turn
                             ORDER BY coalesce(role, 'user'), coalesce(text, '')) AS nth
   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-last AS (
-  SELECT pair_id, turn, nth, text FROM rows WHERE role = 'assistant'
-  QUALIFY row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, nth DESC) = 1),
-used AS (
-  SELECT r.pair_id, r.turn, r.nth, r.role, r.text,
-         CASE WHEN r.turn = l.turn AND r.nth = l.nth THEN o.text ELSE r.text END AS other
-  FROM rows r JOIN last l ON r.pair_id = l.pair_id
-  JOIN last o ON o.pair_id = xor(l.pair_id, 1)
-  WHERE (r.turn, r.nth) <= (l.turn, l.nth)),
-parts AS (
-  SELECT u.*, count(*) FILTER (WHERE text <> other) OVER (
-           PARTITION BY pair_id ORDER BY turn, nth
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS apart FROM used u),
+answers AS (
+  SELECT pair_id, row_number() OVER (ORDER BY pair_id) - 1 AS rank, count(*) OVER () AS total,
+         min({'turn': turn, 'nth': nth}) AS first, max({'turn': turn, 'nth': nth}) AS last
+  FROM rows WHERE role = 'assistant' GROUP BY pair_id),
+ends AS (
+  SELECT a.pair_id, b.pair_id AS source, CASE WHEN a.rank % 2 = 0 THEN a.first ELSE a.last END AS cut,
+         CASE WHEN a.rank % 2 = 0 THEN b.first ELSE b.last END AS start
+  FROM answers a JOIN answers b ON b.rank = (a.rank + 1) % a.total),
+rejected AS (
+  SELECT r.pair_id, r.turn, r.nth, r.role, r.text FROM rows r LEFT JOIN ends e ON e.pair_id = r.pair_id
+  WHERE e.pair_id IS NULL OR (r.turn, r.nth) < (e.cut.turn, e.cut.nth)
+  UNION ALL
+  SELECT e.pair_id, r.turn - e.start.turn + e.cut.turn,
+         CASE WHEN r.turn = e.start.turn THEN r.nth - e.start.nth + e.cut.nth ELSE r.nth END,
+         r.role, r.text
+  FROM ends e JOIN rows r ON r.pair_id = e.source WHERE (r.turn, r.nth) >= (e.start.turn, e.start.nth)),
+parting AS (
+  SELECT pair_id, min({'turn': turn, 'nth': nth}) AS at
+  FROM (SELECT coalesce(c.pair_id, j.pair_id) AS pair_id, coalesce(c.turn, j.turn) AS turn,
+               coalesce(c.nth, j.nth) AS nth
+        FROM rows c FULL JOIN rejected j ON c.pair_id = j.pair_id AND c.turn = j.turn AND c.nth = j.nth
+        WHERE c.text IS DISTINCT FROM j.text OR c.role IS DISTINCT FROM j.role) AS apart
+  GROUP BY pair_id),
 said AS (
-  SELECT pair_id, CASE WHEN apart = 0 THEN 'prompt' ELSE 'chosen' END AS part, turn, nth, role,
-         text FROM parts
+  SELECT r.pair_id, CASE WHEN p.at IS NULL OR (r.turn, r.nth) < (p.at.turn, p.at.nth)
+                         THEN 'prompt' ELSE 'chosen' END AS part, r.turn, r.nth, r.role, r.text
+  FROM rows r LEFT JOIN parting p ON p.pair_id = r.pair_id
   UNION ALL
-  SELECT pair_id, 'rejected', turn, nth, role, other FROM parts WHERE apart > 0)
+  SELECT j.pair_id, 'rejected', j.turn, j.nth, j.role, j.text
+  FROM rejected j JOIN parting p ON p.pair_id = j.pair_id
+  WHERE (j.turn, j.nth) >= (p.at.turn, p.at.nth))
 SELECT pair_id, part, turn, nth, role,
        '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS segment,
        CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 13 + length(role) END AS mask_from,
