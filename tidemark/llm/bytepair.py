@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import held_by_worker, map_texts, texts_of
 
-#: Bytes of what a task remembers of words, pieces, beginnings and pairs of tokens; a bound
-#: on memory, not on the work. All of it is dropped when the task ends.
+#: Bytes of what a worker remembers of words, pieces, beginnings and pairs of tokens; a bound
+#: on memory, not on the work. All of it goes when a task of another operator begins.
 WORD_BYTES = 48 << 20
 PIECE_BYTES = 24 << 20
 HEAD_BYTES = 16 << 20
@@ -68,13 +68,6 @@ class BytePairs:
         self._word_ids = _Known(self._word, 32, WORD_BYTES)
         self._line_end = f" {ranks.get(b'\n')} "
 
-    def forget(self) -> None:
-        """Drop what has been remembered of the texts seen."""
-        for known in (self._piece_ids, self._first_ids, self._word_ids):
-            known.forget()
-        for known in (self._follows, self._heads, self._borders):
-            known.clear()
-
     def _grow(self) -> None:
         """A tree of the tokens' bytes with, for each node, the node of its longest proper
         suffix and the tokens (rank, length) that its bytes end with, longest first."""
@@ -241,7 +234,7 @@ class _Known(dict):
     no more, as frequent ones come early."""
 
     def __init__(self, find, longest: int, room: int):
-        self.find, self.longest, self.room, self.left = find, longest, room, room
+        self.find, self.longest, self.left = find, longest, room
 
     def __missing__(self, text: str) -> str:
         found = self.find(text)
@@ -250,10 +243,6 @@ class _Known(dict):
             self.left -= ENTRY_BYTES + len(text) + len(found)
         return found
 
-    def forget(self) -> None:
-        self.clear()
-        self.left = self.room
-
 
 class EditableText:
     """An encoded text that can be appended to and edited.
@@ -335,9 +324,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 back_digest.append(hashlib.sha256(vocabulary.decode_text(ids)).hexdigest())
             return {"doc_id": batch.column("doc_id"), "n_tokens": n,
                     "ids_sha256": ids_digest, "decoded_sha256": back_digest}
-        work.done = vocabulary.forget
         return work
-    return map_texts(texts_of(docs), SCHEMA, make)
+    return map_texts(texts_of(docs), SCHEMA, make, holds=True)
 
 
 def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -350,9 +338,8 @@ def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         def work(batch):
             return {"doc_id": batch.column("doc_id"),
                     "ids": [vocabulary.encode(t) for t in batch.column("text").to_pylist()]}
-        work.done = vocabulary.forget
         return work
-    return map_texts(texts_of(docs), "doc_id bigint, ids array<int>", make)
+    return map_texts(texts_of(docs), "doc_id bigint, ids array<int>", make, holds=True)
 
 
 def worker_vocabulary(ranks, pattern: str) -> BytePairs:

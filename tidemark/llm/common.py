@@ -46,10 +46,16 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def map_batches(df: DataFrame, run, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the tasks."""
+def map_batches(df: DataFrame, run, schema, holds: bool = False) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the tasks. Unless the operator ``holds`` a
+    value of its own, a worker lets go of what another one left there."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def started(batches):
+        if not holds:
+            let_go()
+        return run(batches)
+    return df.mapInArrow(started, schema)
 
 
 def texts_of(docs: DataFrame, *more: Column) -> DataFrame:
@@ -80,28 +86,24 @@ def parts(batch: pa.RecordBatch, column: str = "text", limit: int = PART_BYTES
 
 
 def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]],
-              column: str = "text", limit: int = PART_BYTES) -> DataFrame:
+              column: str = "text", limit: int = PART_BYTES, holds: bool = False) -> DataFrame:
     """Apply a function of record batches to parts of bounded size.
 
     ``make`` runs once a task and returns the function, which gives a dictionary
-    of the output columns, in the order of ``schema``. If the function has an attribute
-    ``done``, that is called when the task ends.
+    of the output columns, in the order of ``schema``.
     """
     fields = df.sparkSession.createDataFrame([], schema).schema
     types = [(f.name, _arrow(f.dataType.simpleString())) for f in fields]
 
     def run(batches):
         work = make()
-        try:
-            for batch in batches:
-                for part in parts(batch, column, limit):
-                    out = work(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [v if isinstance(v := out[n], pa.Array) else pa.array(v, t)
-                         for n, t in types], names=[n for n, _ in types])
-        finally:
-            getattr(work, "done", lambda: None)()
-    return map_batches(df, run, schema)
+        for batch in batches:
+            for part in parts(batch, column, limit):
+                out = work(part)
+                yield pa.RecordBatch.from_arrays(
+                    [v if isinstance(v := out[n], pa.Array) else pa.array(v, t)
+                     for n, t in types], names=[n for n, _ in types])
+    return map_batches(df, run, schema, holds)
 
 
 _HELD: list[tuple] = []
@@ -109,13 +111,17 @@ _HELD: list[tuple] = []
 
 def held_by_worker(key, build: Callable):
     """What ``build`` gives, for all tasks that a Python worker runs one after another. A
-    worker holds one such value at a time."""
+    worker holds one such value at a time, until a task of another operator begins."""
     if not _HELD or _HELD[0][0] != key:
-        _HELD[:] = []
+        let_go()
         _HELD[:] = [(key, build())]
     return _HELD[0][1]
 
 
+def let_go() -> None:
+    _HELD[:] = []
+
+
 def _arrow(name: str) -> pa.DataType:
     plain = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),
              "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
