@@ -9,11 +9,14 @@ segments. Overlaps are counted segment by segment and summed for each pair.
 
 Which pairs are counted: sets that are this similar share one of the first shingles (their
 prefix), so the prefixes, about a fifth of all shingles, are grouped by shingle. A pair goes
-on if sizes, positions and the number of shared prefix shingles, a first partial overlap,
-leave room for the rest. Equal sets are one class and are compared as one. Before that each
-class is tried against one hub, a class that it shares MinHash bands with; what links join
-is not compared again, so a family of near copies costs links, not pairs. A shingle that
-very many prefixes hold is dealt in blocks, every pair of blocks a group of its own.
+on if sizes and positions allow it and the number of shared prefix shingles, a first partial
+overlap, leaves room for the rest. Equal sets are one class and are compared as one. Before that each
+class is tried against one hub: of the classes that it shares MinHash bands with, the one
+whose rarest shingle is most frequent, as the text that a family of near copies was made
+from has no shingle of its own. Of the pairs that are left open, each class is first counted
+with the best one of each other component, and what that joins is not counted again; at last
+all that is still open is. So a family costs links, not pairs. A shingle that very many
+prefixes hold is dealt in blocks, every pair of blocks a group of its own.
 
 Classes are told apart by 64-bit hashes of whole sets. A null text is empty; texts without a
 word link with nothing. Repeated rows and ids are in the class of their text, a component of
@@ -44,6 +47,8 @@ BAND_SHIFT = 56
 #: Classes that share a prefix shingle before they are dealt in blocks.
 CROWD = 1024
 HUB_BANDS, HUB_ROWS = 6, 3
+#: Rounds in which a class is counted with the best one of each other component.
+ROUNDS = 3
 REMEMBERED = 200_000
 BLOCK = 1 << 16
 #: Slots of the table that says which documents a verification reads.
@@ -160,24 +165,26 @@ def prefix_length(n, percent: int = PERCENT):
 # --- pairs --------------------------------------------------------------------------------
 
 def _classes(docs: DataFrame, shipped, size: int, percent: int) -> DataFrame:
-    """``doc_id``, ``cls`` (the hash of its set), ``n``, ``prefix`` and ``heads`` of each document."""
+    """``doc_id``, ``cls`` (the hash of its set), ``n``, ``rare`` (the place of its rarest shingle
+    in the order), ``prefix`` and ``heads`` of each document."""
     def make():
         shingles = Shingles(size)
 
         def work(batch):
-            out: dict[str, list] = {"cls": [], "n": [], "prefix": [], "heads": []}
+            out: dict[str, list] = {"cls": [], "n": [], "rare": [], "prefix": [], "heads": []}
             for text in batch.column("text").to_pylist():
                 codes = shingles.of(text)
                 keys = ordered(codes, shipped.value)
                 out["cls"].append(_class_of(keys))
                 out["n"].append(len(keys))
+                out["rare"].append(int(keys[0] >> np.uint64(1)) if len(keys) else None)
                 out["prefix"].append(
                     keys[:prefix_length(len(keys), percent)].view(np.int64) if len(keys) else [])
                 out["heads"].append(shingles.heads(codes) if len(keys) else [])
             return {"doc_id": batch.column("doc_id"), **out}
         return work
-    return map_texts(texts_of(docs), "doc_id bigint, cls bigint, n bigint, prefix array<bigint>, "
-                     "heads array<bigint>", make)
+    return map_texts(texts_of(docs), "doc_id bigint, cls bigint, n bigint, rare bigint, "
+                     "prefix array<bigint>, heads array<bigint>", make)
 
 
 def _class_of(keys: np.ndarray) -> int | None:
@@ -188,16 +195,18 @@ def _class_of(keys: np.ndarray) -> int | None:
 
 
 def _hub_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """One pair (u, v) for each class that shares a MinHash band with a smaller one: with that
-    of which it shares most bands."""
-    rows = sets.select("cls", "n", F.explode("heads").alias("head"))
-    hubs = rows.groupBy("head").agg(F.min(F.struct("cls", "n")).alias("hub"), F.count("*").alias("k"))
-    hubs = hubs.filter("k > 1").select("head", F.col("hub.cls").alias("u"), F.col("hub.n").alias("m"))
+    """One pair (u, v) for each class that shares a MinHash band with another one whose rarest
+    shingle is more frequent: with that of which it shares most bands."""
+    rows = sets.select("cls", "n", "rare", F.explode("heads").alias("head"))
+    hubs = rows.groupBy("head").agg(F.max(F.struct("rare", "cls", "n")).alias("hub"),
+                                    F.count("*").alias("k")).filter("k > 1")
+    hubs = hubs.select("head", F.col("hub.rare").alias("central"), F.col("hub.cls").alias("u"),
+                       F.col("hub.n").alias("m"))
     near = rows.join(hubs, "head").filter(
         (F.col("u") != F.col("cls"))
         & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
-    best = near.groupBy("cls", "u").agg(F.count("*").alias("k")).groupBy("cls").agg(
-        F.max(F.struct("k", "u")).alias("best"))
+    best = near.groupBy("cls", "u", "central").agg(F.count("*").alias("k")).groupBy("cls").agg(
+        F.max(F.struct("k", "central", "u")).alias("best"))
     return best.select(F.col("best.u").alias("u"), F.col("cls").alias("v"))
 
 
@@ -215,12 +224,13 @@ def group_pairs(cols: dict[str, np.ndarray], starts: np.ndarray, percent: int
 
     def fits(i, k):
         n, m, at, to = cols["n"][i], cols["n"][k], cols["pos"][i], cols["pos"][k]
-        room = np.minimum(at, to) + np.minimum(n - at, m - to)
+        need = _required(n, m, percent)
         # Blocks of one side meet only the other side, unless there is one side alone.
         apart = (cols["a"][i] == cols["b"][i]) | (cols["side"][i] != cols["side"][k])
         return ((cols["root"][i] != cols["root"][k]) & apart
                 & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                & (room >= _required(n, m, percent)))
+                # Sets with that much in common share a shingle this far in front in both.
+                & (at <= n - need) & (to <= m - need))
     small = sizes[group] <= 16
     for step in range(1, int(sizes[sizes <= 16].max(initial=0))):
         i = np.flatnonzero((group[step:] == group[:-step]) & small[step:])
@@ -244,8 +254,8 @@ _GROUP = ["token", "a", "b"]
 
 
 def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(u, v, nu, nv) for each shared prefix shingle of sets that may be similar, from rows
-    sorted by group."""
+    """(u, v, nu, nv) for the first shared shingles of sets that may be similar, from rows sorted
+    by group."""
     names = ["token", "a", "b", "side", "cls", "n", "pos", "root"]
 
     def run(batches):
@@ -276,8 +286,8 @@ def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidates(sets: DataFrame, percent: int, crowd: int) -> DataFrame:
-    """Pairs of classes of different roots whose prefixes leave room for the overlap they need.
-    ``sets`` has cls, n, prefix and root."""
+    """Pairs (u, v) of classes of different roots whose prefixes leave ``room`` for the overlap
+    they need. ``sets`` has cls, n, prefix and root."""
     width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = sets.select("cls", "n", "root", F.posexplode("prefix").alias("pos", "token"))
     zero = F.lit(0).cast("bigint")
@@ -310,21 +320,26 @@ def _candidates(sets: DataFrame, percent: int, crowd: int) -> DataFrame:
             (F.col("own") > F.col("other")).cast("bigint").alias("side")))
     ready = plain.withColumn("pos", F.col("pos").cast("bigint")).repartition(
         width, *_GROUP).sortWithinPartitions(*_GROUP)
-    shared = _open_pairs(ready, percent).groupBy("u", "v", "nu", "nv").agg(F.count("*").alias("c"))
+    shared = stored(_open_pairs(ready, percent).distinct(), "shared")
+    for end in ("u", "v"):
+        shared = shared.join(sets.select(
+            F.col("cls").alias(end), F.col("prefix").alias("prefix_" + end)), end)
+    shared = shared.select("u", "v", "nu", "nv", F.size(
+        F.array_intersect("prefix_u", "prefix_v")).alias("c"))
     beyond = F.greatest(*[F.expr(f"{n} - ({prefix_sql(n, percent)})") for n in ("nu", "nv")])
     need = F.expr(f"({percent} * (nu + nv) + {99 + percent}) div {100 + percent}")
-    return shared.filter(F.col("c") + beyond >= need).select("u", "v")
+    return shared.withColumn("room", F.col("c") + beyond - need).filter("room >= 0").select(
+        "u", "v", "room")
 
 
 def prefix_sql(n: str, percent: int) -> str:
     return f"{n} - ({percent} * {n} + 99) div 100 + 1"
 
 
-def overlaps(docs: DataFrame, pairs: DataFrame, sets: DataFrame, shipped, size: int = SHINGLE,
+def segments(docs: DataFrame, pairs: DataFrame, sets: DataFrame, shipped, size: int = SHINGLE,
              fragments: int = FRAGMENTS) -> DataFrame:
-    """``u``, ``v``, ``nu``, ``nv`` and ``common``, the sum of the partial overlaps of each pair's
-    segments, of the pairs (u, v) of classes that share a shingle. ``sets`` has the smallest
-    id (``least``) of each class."""
+    """``cls``, ``size``, ``fragment`` and ``segment`` of the classes in ``pairs`` (u, v), written.
+    ``sets`` has the smallest id (``least``) of each class."""
     spark = docs.sparkSession
     ends = pairs.select(F.col("u").alias("cls")).unionByName(pairs.select(F.col("v").alias("cls")))
     wanted = sets.join(ends.distinct(), "cls", "left_semi").select("least")
@@ -357,12 +372,18 @@ def overlaps(docs: DataFrame, pairs: DataFrame, sets: DataFrame, shipped, size:
     rows = texts_of(docs).withColumn("least", F.col("doc_id"))
     found = map_batches(rows.select("text", slot), run,
                         "cls bigint, size bigint, fragment int, segment array<bigint>")
-    segments = stored(found.dropDuplicates(["cls", "fragment"]), "segments")
-    each = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
+    return stored(found.dropDuplicates(["cls", "fragment"]), "segments")
+
+
+def overlaps(pairs: DataFrame, cut: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
+    """``u``, ``v``, ``nu``, ``nv`` and ``common``, the sum of the partial overlaps of the
+    segments ``cut``, of the pairs (u, v) of classes that share a shingle."""
+    each = pairs.select("u", "v", F.explode(
+        F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"))
 
     def side(name):
-        return segments.select(F.col("cls").alias(name), "fragment", F.col("size").alias("n" + name),
-                               F.col("segment").alias("of_" + name))
+        return cut.select(F.col("cls").alias(name), "fragment", F.col("size").alias("n" + name),
+                          F.col("segment").alias("of_" + name))
     partial = each.join(side("u"), ["u", "fragment"]).join(side("v"), ["v", "fragment"]).select(
         "u", "v", "nu", "nv", F.size(F.array_intersect("of_u", "of_v")).alias("part"))
     return partial.groupBy("u", "v", "nu", "nv").agg(F.sum("part").alias("common"))
@@ -380,16 +401,44 @@ def joined(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, crowd:
     shipped = docs.sparkSession.sparkContext.broadcast(slot_bands(docs, size))
     members = stored(_classes(docs, shipped, size, percent), "members")
     sets = stored(members.filter("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"),
+        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("rare").alias("rare"),
         F.first("prefix").alias("prefix"), F.first("heads").alias("heads")), "sets")
     tried = stored(_hub_pairs(sets, percent), "tried")
-    links = stored(_linked(overlaps(docs, tried, sets, shipped, size, fragments), percent), "links")
-    roots = components(links).withColumnRenamed("node", "its")
-    rooted = sets.join(roots, sets["cls"] == roots["its"], "left").select(
+    cut = segments(docs, tried, sets, shipped, size, fragments)
+    links = stored(_linked(overlaps(tried, cut, fragments), percent), "links")
+    roots = components(links)
+    its = roots.withColumnRenamed("node", "its")
+    rooted = sets.join(its, sets["cls"] == its["its"], "left").select(
         "cls", "n", "prefix", F.coalesce("root", "cls").alias("root"))
     open_ = stored(_candidates(rooted, percent, crowd), "candidates")
-    more = _linked(overlaps(docs, open_, sets, shipped, size, fragments), percent)
-    return members.select("doc_id", "cls", "n"), stored(links.unionByName(more), "links")
+    cut = segments(docs, open_, sets, shipped, size, fragments)
+    for left in range(ROUNDS, -1, -1):
+        open_ = stored(_apart(open_, roots), "open")
+        if open_.isEmpty():
+            break
+        now = stored(_best_of_each(open_), "now") if left else open_
+        more = _linked(overlaps(now, cut, fragments), percent)
+        links = stored(links.unionByName(more), "links")
+        if left:
+            roots = components(links)
+            open_ = open_.join(now, ["u", "v"], "left_anti")
+    return members.select("doc_id", "cls", "n"), links
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v, room) whose ends have different roots, with these."""
+    named = pairs.select("u", "v", "room")
+    for end in ("u", "v"):
+        of = roots.select(F.col("node").alias(end), F.col("root").alias("root_" + end))
+        named = named.join(of, end, "left").withColumn("root_" + end, F.coalesce("root_" + end, end))
+    return named.filter("root_u <> root_v")
+
+
+def _best_of_each(pairs: DataFrame) -> DataFrame:
+    """For each class and each other root the pair with most room."""
+    best = [pairs.groupBy(one, "root_" + other).agg(F.max(F.struct("room", "u", "v")).alias("best"))
+            .select("best.u", "best.v") for one, other in (("u", "v"), ("v", "u"))]
+    return best[0].unionByName(best[1]).distinct()
 
 
 def linked_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE,
