@@ -26,6 +26,8 @@ their names, and an empty table change nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -164,9 +166,10 @@ def prefix_length(n, percent: int = PERCENT):
 
 # --- pairs --------------------------------------------------------------------------------
 
-def _classes(docs: DataFrame, shipped, size: int, percent: int) -> DataFrame:
+def _classes(docs: DataFrame, shipped, size: int, percent: int, keep: tuple[str, ...] = ()
+             ) -> DataFrame:
     """``doc_id``, ``cls`` (the hash of its set), ``n``, ``rare`` (the place of its rarest shingle
-    in the order), ``prefix`` and ``heads`` of each document."""
+    in the order), ``prefix`` and ``heads`` of each document, and its bigint columns ``keep``."""
     def make():
         shingles = Shingles(size)
 
@@ -181,9 +184,10 @@ def _classes(docs: DataFrame, shipped, size: int, percent: int) -> DataFrame:
                 out["prefix"].append(
                     keys[:prefix_length(len(keys), percent)].view(np.int64) if len(keys) else [])
                 out["heads"].append(shingles.heads(codes) if len(keys) else [])
-            return {"doc_id": batch.column("doc_id"), **out}
+            return {**{c: batch.column(c) for c in ("doc_id", *keep)}, **out}
         return work
-    return map_texts(texts_of(docs), "doc_id bigint, cls bigint, n bigint, rare bigint, "
+    kept = "".join(f"{c} bigint, " for c in ("doc_id", *keep))
+    return map_texts(texts_of(docs, *keep), kept + "cls bigint, n bigint, rare bigint, "
                      "prefix array<bigint>, heads array<bigint>", make)
 
 
@@ -395,15 +399,23 @@ def _linked(counted: DataFrame, percent: int) -> DataFrame:
 
 
 def joined(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, crowd: int = CROWD,
-           fragments: int = FRAGMENTS) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, cls, n) and links (u, v) between classes, verified, whose components
-    are those of all pairs of sets at least ``percent`` alike."""
+           fragments: int = FRAGMENTS, keep: tuple[str, ...] = (),
+           tries: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents (doc_id, cls, n and the bigint columns ``keep``) and links (u, v) between
+    classes, verified, whose components are those of all pairs of sets at least ``percent`` alike.
+
+    ``tries`` gives, for the documents, more pairs of classes to try first. They change the
+    work, never the components.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(slot_bands(docs, size))
-    members = stored(_classes(docs, shipped, size, percent), "members")
+    members = stored(_classes(docs, shipped, size, percent, keep), "members")
     sets = stored(members.filter("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("rare").alias("rare"),
         F.first("prefix").alias("prefix"), F.first("heads").alias("heads")), "sets")
-    tried = stored(_hub_pairs(sets, percent), "tried")
+    tried = _hub_pairs(sets, percent)
+    if tries is not None:
+        tried = tried.unionByName(tries(members)).distinct()
+    tried = stored(tried, "tried")
     cut = segments(docs, tried, sets, shipped, size, fragments)
     links = stored(_linked(overlaps(tried, cut, fragments), percent), "links")
     roots = components(links)
@@ -422,7 +434,7 @@ def joined(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, crowd:
         if left:
             roots = components(links)
             open_ = open_.join(now, ["u", "v"], "left_anti")
-    return members.select("doc_id", "cls", "n"), links
+    return members.select("doc_id", *keep, "cls", "n"), links
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
