@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.sources import files, sinks
+from tidemark.streaming.apply import each_batch
 
 
 def own_source(spark, path, glob):
@@ -75,3 +76,50 @@ def test_many_files_are_dealt_to_few_tasks(spark, tmp_path):
     found = files.binary_files(spark, str(tmp_path / "x"))
     assert found.rdd.getNumPartitions() <= 8  # Spark's own source makes some hundred here
     assert found.where(F.element_at(F.split("path", "/"), -1) == F.col("content").cast("string")).count() == 3000
+
+
+# -- new files ---------------------------------------------------------------------------
+def run_of(spark, root, checkpoint, glob="*.txt", max_files=None):
+    """The batches of one run of the stream: (path below the folder, content) of each."""
+    batches = []
+    stream = files.new_binary_files(spark, f"{root}/in", glob, max_files)
+    each_batch(stream, lambda batch, _: batches.append(
+        {(r.path.split("/in/")[1], bytes(r.content), r.length) for r in batch.collect()}),
+        str(checkpoint)).awaitTermination()
+    return batches
+
+
+def test_a_run_takes_what_came_since_the_last(spark, tmp_path):
+    write(tmp_path / "in", {"a/1.txt": b"1", "a/2.txt": b"22", "a/3.pdf": b"3", "a/empty.txt": b""})
+    assert run_of(spark, tmp_path, tmp_path / "mark") == [{("a/1.txt", b"1", 1), ("a/2.txt", b"22", 2)}]
+    assert run_of(spark, tmp_path, tmp_path / "mark") == []
+    write(tmp_path / "in", {"b/c/1.txt": b"333", "a/1.txt": b"changed"})
+    assert run_of(spark, tmp_path, tmp_path / "mark") == [{("b/c/1.txt", b"333", 3)}]
+    # Another stream of the folder begins at the start; other files are another glob's.
+    assert len(run_of(spark, tmp_path, tmp_path / "other")[0]) == 3
+    assert run_of(spark, tmp_path, tmp_path / "pdf", "*.pdf") == [{("a/3.pdf", b"3", 1)}]
+    assert rows(files.binary_files(spark, str(tmp_path / "in"), "1.txt")) == rows(
+        own_source(spark, str(tmp_path / "in"), "1.txt"))
+
+
+def test_a_bound_on_the_files_of_a_batch(spark, tmp_path):
+    write(tmp_path / "in", {f"{i}.txt": b"x" for i in range(7)})
+    batches = run_of(spark, tmp_path, tmp_path / "mark", max_files=3)
+    assert max(map(len, batches)) <= 3 and len(batches) == 3
+    assert len(set().union(*batches)) == 7
+    write(tmp_path / "in", {"8.txt": b"x"})
+    assert run_of(spark, tmp_path, tmp_path / "mark", max_files=3) == [{("8.txt", b"x", 1)}]
+
+
+def test_an_empty_folder_has_no_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert run_of(spark, tmp_path, tmp_path / "mark") == []
+    write(tmp_path / "in", {"8.txt": b"x"})
+    assert run_of(spark, tmp_path, tmp_path / "mark") == [{("8.txt", b"x", 1)}]
+
+
+def test_a_checkpoint_remembers_listings_not_files(spark, tmp_path):
+    write(tmp_path / "in", {f"{i}.txt": b"x" for i in range(200)})
+    assert len(run_of(spark, tmp_path, tmp_path / "mark")[0]) == 200
+    sources = "".join(p.read_text() for p in (tmp_path / "mark/sources").rglob("[0-9]*") if p.is_file())
+    assert 0 < sources.count('"path"') <= 8
