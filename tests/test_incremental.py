@@ -79,6 +79,40 @@ def test_only_touched_keys_are_written(spark, tmp_path):
     assert mart.current(spark).count() == 49
 
 
+def test_what_was_folded_goes_when_the_next_batch_begins(spark, tmp_path):
+    schema = spark.createDataFrame([], LOG).schema
+    mart = IncrementalMart(f"{tmp_path}/mart", schema, "id", "grp", MEASURES, 2)
+    row = lambda i, grp, at: (i, grp, None, f"w{at}", D("1.00"), True, "update", at, None, None, at)
+    for batch_id in range(5):
+        rows = [row(i, f"g{(i + batch_id) % 3}", batch_id) for i in range(batch_id, 6)]
+        for _ in range(2):  # every batch is replayed
+            mart.apply(spark.createDataFrame(rows, schema), batch_id)
+        last = {i: min(i, batch_id) for i in range(6)}
+        assert {r.grp: r.n for r in mart.current(spark).collect()} == {
+            g: n for g in ("g0", "g1", "g2")
+            if (n := sum(f"g{(i + b) % 3}" == g for i, b in last.items()))}
+        left = {str(p.relative_to(tmp_path / "mart")) for p in (tmp_path / "mart").glob("*/*=*")}
+        left |= {str(p.relative_to(tmp_path / "mart")) for p in (tmp_path / "mart").glob("facts/*/*=*")}
+        folds = batch_id % 2
+        since = [batch_id] if batch_id == 0 or not folds else [batch_id - 1, batch_id]
+        base = since[0] - 1
+        upto = [f"upto={b}" for b in ([base] if base >= 0 else []) + ([batch_id] if folds else [])]
+        parts = [f"batch={b}" for b in since] + upto
+        assert left == {f"{name}/{p}" for name in ("sums", "values-day", "values-who") for p in parts} | {
+            f"facts/{'delta' if p[0] == 'b' else 'base'}/{p}" for p in parts}
+        assert not list((tmp_path / "mart").glob("signed-*"))
+
+
+def test_one_part_of_a_target_is_read_as_it_is(spark, tmp_path):
+    schema = spark.createDataFrame([], LOG).schema
+    mart = IncrementalMart(f"{tmp_path}/mart", schema, "id", "grp", MEASURES)
+    mart.apply(spark.createDataFrame(
+        [(1, "g", None, "x", None, True, "insert", at, None, None, at) for at in range(3)], schema), 0)
+    images = mart.facts.images(spark)
+    assert [r._sort_by for r in images.collect()] == [2]
+    assert "Exchange" not in images._jdf.queryExecution().executedPlan().toString()
+
+
 def test_float_sums_are_refused(spark, tmp_path):
     schema = spark.createDataFrame([], LOG.replace("decimal(9,2)", "double")).schema
     with pytest.raises(ContractError):

@@ -12,7 +12,9 @@ stored changes nothing. From the signed images come two kinds of additive state:
 A batch writes its own part of the state and nothing else; reading adds the parts up. Only
 the touched keys are computed anew, from the state alone, and go to the served mart as a
 change log of their own. So a batch costs what its facts and their keys hold. All paths
-follow from the batch id: a batch that is replayed leaves the same files.
+follow from the batch id: a batch that is replayed leaves the same files. What a batch has
+folded goes when the next one begins, as it is not replayed from then on; its signed images
+go with its end. So the stored facts can be read as of the last batch only.
 """
 
 from __future__ import annotations
@@ -74,8 +76,9 @@ class IncrementalMart:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body; safe to repeat with the same ``batch_id``."""
         spark = batch.sparkSession
-        signed = materialize(self._signed(change_log(batch), batch_id),
-                             f"{self.path}/signed-{batch_id % 2}")
+        self._drop_folded(batch_id)
+        images = f"{self.path}/signed-{batch_id % 2}"
+        signed = materialize(self._signed(change_log(batch), batch_id), images)
         self._write(self._sums(signed), "sums", batch_id)
         for name in self._kept():
             values = signed.groupBy(col(self.group_key), col(name)).agg(
@@ -86,6 +89,7 @@ class IncrementalMart:
         log = synthesize_log(rows, F.lit(batch_id)).withColumn(
             CHANGE_TYPE, F.when(F.col("__rows") > 0, "update").otherwise("delete")).drop("__rows")
         self._served(log.schema).write_batch(log, batch_id)
+        remove_folder(images)
         # The facts come last: until then their stored images are those before the batch.
         self.facts.write_batch(batch, batch_id)
         if self._folds(batch_id):
@@ -149,7 +153,7 @@ class IncrementalMart:
             F.sum(col(c)).cast(state.schema[c].dataType).alias(c) for c in sums])
 
     def _fold(self, spark: SparkSession, batch_id: int) -> None:
-        """Add all parts up into one; those that the fold before took in go."""
+        """Add all parts up into one."""
         names = {"sums": [self.group_key],
                  **{f"values-{c}": [self.group_key, c] for c in self._kept()}}
         for name, keys in names.items():
@@ -157,11 +161,18 @@ class IncrementalMart:
             alive = whole.where(F.col("n") != 0) if "n" in whole.columns else whole.where(
                 reduce(lambda a, b: a | b, [col(c) != 0 for c in whole.columns if c not in keys]))
             alive.write.mode("overwrite").parquet(f"{self.path}/{name}/upto={batch_id}")
-            last = batch_id - self.compact_every
-            for old in range(max(0, last - self.compact_every + 1), last + 1):
+
+    def _drop_folded(self, batch_id: int) -> None:
+        """Remove what the batch before this one, which is complete, has folded."""
+        if not batch_id or not self._folds(batch_id - 1):
+            return
+        first = batch_id - self.compact_every
+        for name in ("sums", *[f"values-{c}" for c in self._kept()]):
+            for old in range(first, batch_id):
                 remove_folder(f"{self.path}/{name}/batch={old}")
-            if last - self.compact_every >= 0:
-                remove_folder(f"{self.path}/{name}/upto={last - self.compact_every}")
+            if first:
+                remove_folder(f"{self.path}/{name}/upto={first - 1}")
+        self.facts.drop_folded(batch_id - 1)
 
     # -- rows ----------------------------------------------------------------------
     def _rows(self, spark: SparkSession, batch_id: int, touched: DataFrame | None) -> DataFrame:

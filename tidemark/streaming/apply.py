@@ -67,6 +67,15 @@ class ChangeTarget:
             if last - self.compact_every >= 0:
                 remove_folder(self._base(last - self.compact_every))
 
+    def drop_folded(self, batch_id: int) -> None:
+        """Remove what the compaction of batch ``batch_id`` has folded, before the next one would.
+        States before that batch are gone then, and it must be complete."""
+        last = batch_id - self.compact_every
+        for old in range(last + 1, batch_id + 1):
+            remove_folder(self._delta(old))
+        if last >= 0:
+            remove_folder(self._base(last))
+
     def _head(self, batch_id: int) -> str:
         return f"{self.path}/head-{batch_id % 2}"
 
@@ -76,6 +85,8 @@ class ChangeTarget:
         if base >= 0:
             parts.append(self._base(base))
         reader = spark.read.schema(self.schema)
+        if len(parts) == 1:  # each part has one row a key
+            return reader.parquet(parts[0])
         frames = reduce(DataFrame.unionByName, [reader.parquet(p) for p in parts])
         return latest_images(frames, list(self.keys), self.tie_break)
 

@@ -155,8 +155,10 @@ def incremental_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = sales_batches(sales)
     mart = IncrementalMart(f"{root}/mart", batches[0].schema, "transaction_id", "contract_id",
                            FINANCE_RETRACTABLE, compact_every=2)
-    for batch in batches:  # what has landed is applied before more lands
+    for number, batch in enumerate(batches, 1):  # what has landed is applied before more lands
         batch.write.mode("append").parquet(f"{root}/feed")
+        if number == len(batches):  # all has landed
+            sinks.remove_folder(f"{root}/sales")
         stream = file_stream(spark, f"{root}/feed", batch.schema)
         each_batch(stream, mart.apply, f"{root}/checkpoint").awaitTermination()
     return mart.current(spark)
