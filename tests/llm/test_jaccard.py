@@ -112,3 +112,21 @@ def test_similar_sets_share_a_prefix_shingle(n):
     # The least overlap that two sets of n shingles can have and be similar.
     common = -(-80 * 2 * n // 180)
     assert jaccard.prefix_length(n) > n - common
+
+
+@pytest.mark.parametrize("crowd", [1, 8, 1024])
+def test_candidates_hold_every_similar_pair_of_different_roots(spark, crowd):
+    rows = planted() + family(30)
+    docs = samples.table(spark, rows)
+    shipped = spark.sparkContext.broadcast(jaccard.slot_bands(docs))
+    members = {r.cls: r for r in jaccard._classes(docs, shipped, 5, 80).collect() if r.n}
+    text = {r[0]: r[1] for r in rows}
+    of = {c: frozenset(shingles(text[r.doc_id])) for c, r in members.items()}
+    # Some classes have been joined before, whether they are alike or not.
+    root = {c: min(members) if i % 3 == 0 else c for i, c in enumerate(sorted(members))}
+    sets = spark.createDataFrame([(c, r.n, r.prefix, root[c]) for c, r in members.items()],
+                                 "cls bigint, n bigint, prefix array<bigint>, root bigint")
+    wanted = {(a, b) for a in of for b in of if a < b and root[a] != root[b]
+              and 100 * len(of[a] & of[b]) >= 80 * len(of[a] | of[b])}
+    found = {(r.u, r.v) for r in jaccard._candidates(sets, 80, crowd).collect()}
+    assert wanted and wanted <= found
