@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.plans import paperwork
+from tidemark.plans.doc_contracts import CONTRACTS
 from tidemark.sources import files, sinks
 from tidemark.streaming.apply import each_batch
 
@@ -46,6 +48,16 @@ def test_the_driver_lists_nothing(spark, tree):
     assert "binaryFile" not in plan and "top.txt" not in plan
 
 
+@pytest.mark.parametrize("domain", sorted(CONTRACTS))
+def test_the_documents_of_a_domain_are_listed_by_tasks(spark, sf_dir, tmp_path, domain):
+    paperwork.write_documents(spark, sf_dir, domain, str(tmp_path / "files"))
+    landed = paperwork.scanned_documents(spark, str(tmp_path / "files"), domain)
+    assert "binaryFile" not in landed._jdf.queryExecution().executedPlan().toString()
+    made = paperwork.landed_documents(spark, sf_dir, domain).select(
+        "path", "filename", "source_class", F.octet_length("content").cast("bigint"), "content")
+    assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, made.collect()))
+
+
 def test_patterns_and_single_files_go_by_the_own_source(spark, tree):
     for path in (f"{tree}/a/*/c", f"{tree}/top.txt"):
         assert rows(files.binary_files(spark, path)) == rows(own_source(spark, path, "*")) != []
